@@ -34,6 +34,12 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"), pattern())
 
 
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tapeline.llm.importance import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tapeline.llm.sstable import token_shards
 
@@ -52,6 +58,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op9_ngram_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tapeline.llm.ngram_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tapeline.llm.topk import exact_top_k
 
@@ -63,9 +75,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_best_fit_packing,
         op4_bpe_round_trip,
+        op5_importance_resampling,
         op6_token_shards,
         op7_simhash_near_dedup,
         op8_token_counts,
+        op9_ngram_quality_rules,
         op10_exact_top_k,
     )
 }
