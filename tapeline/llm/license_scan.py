@@ -99,8 +99,8 @@ class Scanner:
     def best(self, words: list[str], places: dict[str, list[int]], template: list[str], need: Counter) -> tuple[float, int, int]:
         """The best coverage of the template in any window around one of its rarest words, and where.
 
-        A text word that starts a window is one of the template's rarest in this text; a
-        window reaches SPREAD times the template to both sides. At most (1 - coverage) of the
+        A window is taken around each place of the template's rarest words in this text and
+        reaches SPREAD times the template to both sides. At most (1 - coverage) of the
         template may be missing, so among any floor((1 - coverage) * n) + 1 of its words one is
         there: the windows of that many rarest words miss no alignment that spans no more.
         """
@@ -121,13 +121,17 @@ class Scanner:
         for p in at:
             if p <= done:
                 continue
-            low, high = max(0, p - reach), min(len(words), p + reach)
-            pairs = align(words[low:high], template)
-            share = len(pairs) / n
-            if share > best[0]:
-                best = (share, low + pairs[0][0], low + pairs[-1][0] + 1)
-            if share >= self.coverage:
-                done = low + pairs[-1][0]
+            # First a wide window, then the place that the word's own place in the template gives:
+            # where copies stand side by side, no word is unique in the wide one.
+            for low, high in [(p - reach, p + reach), *((p - j - spare, p - j + n + spare) for j, w in enumerate(template) if w == words[p])]:
+                low, high = max(0, low), min(len(words), high)
+                pairs = align(words[low:high], template)
+                share = len(pairs) / n
+                if share > best[0]:
+                    best = (share, low + pairs[0][0], low + pairs[-1][0] + 1)
+                if share >= self.coverage:
+                    done = low + pairs[-1][0]
+                    break
         return best
 
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
