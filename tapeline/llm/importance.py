@@ -8,10 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import materialize
+from tapeline.llm.common import materialize, small
 
 #: Runs of letters and digits, and runs of anything else that is no white space.
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
@@ -93,10 +93,15 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log(p / p.sum()) - np.log(q / q.sum())
 
 
+def row_hash(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def weigh(docs: DataFrame, weights: np.ndarray, seed: int) -> DataFrame:
-    """docs' doc_id with log_weight (sum over its n-grams) and key (log_weight plus Gumbel noise).
+    """docs' doc_id with log_weight (sum over its n-grams), key (log_weight plus Gumbel noise) and
+    row, the hash of seed, doc_id and text that the noise comes from.
 
-    The noise is a function of doc_id, text and seed alone, so repeats and retries agree.
+    All is a function of doc_id, text and seed alone, so repeats and retries agree.
     """
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
@@ -106,12 +111,12 @@ def weigh(docs: DataFrame, weights: np.ndarray, seed: int) -> DataFrame:
             got = np.array([w[grams(t.as_py() or "")].sum() for t in batch.column(1)])
             u = (batch.column(2).to_numpy().view(np.uint64) >> np.uint64(11)).astype(np.float64) + 0.5
             key = got - np.log(-np.log(u / 2.0**53))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got), pa.array(key)], ["doc_id", "log_weight", "key"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64()), pa.array(key, pa.float64()), batch.column(2)], ["doc_id", "log_weight", "key", "row"])
 
     picked = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("noise")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_hash(seed).alias("row")
     )
-    return picked.mapInArrow(run, "doc_id long, log_weight double, key double")
+    return picked.mapInArrow(run, "doc_id long, log_weight double, key double, row long")
 
 
 def calibrate(scored: DataFrame, sample: dict[int, int]) -> float:
@@ -162,7 +167,7 @@ def kth_key(scored: DataFrame, k: int) -> float:
 
 
 def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 5) -> DataFrame:
-    """Importance resampling: doc_id, log_weight, key, kept of every document.
+    """Importance resampling: doc_id, log_weight, key, row, kept of every document.
 
     The target model counts the n-grams of the sampled documents of quality 1 (LABELLED_ROWS at
     most), the raw model those of all documents; a document's log weight is the sum of its
@@ -183,3 +188,10 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
     if scored.isEmpty():
         least = 0.0
     return scored.withColumn("kept", F.col("key") >= F.lit(float(least)))
+
+
+def keep_sampled(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 5) -> DataFrame:
+    """The rows of docs that resample() keeps, with the columns of docs."""
+    gone = materialize(resample(docs, labels, k, seed).where(~F.col("kept")).select("row", F.col("doc_id").alias("of")).distinct(), "rejected")
+    same = (F.col("_row") == F.col("row")) & F.col("doc_id").cast("long").eqNullSafe(F.col("of"))
+    return docs.withColumn("_row", row_hash(seed)).join(small(gone), same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

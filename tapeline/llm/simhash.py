@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import components, materialize
+from tapeline.llm.common import components, materialize, small
 
 #: Words of a shingle; the seed of its XXH64.
 SHINGLE, SEED = 4, 42
@@ -198,6 +198,4 @@ def keep_first(docs: DataFrame, radius: int = 4) -> DataFrame:
     """
     found = near_duplicates(docs, radius)
     gone = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    from tapeline.llm.common import small
-
     return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
