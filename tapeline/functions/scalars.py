@@ -88,10 +88,21 @@ def compact_datetime(raw: Column) -> Column:
     return F.date_format(parse_datetime(raw), "yyyyMMddHHmmss")
 
 
+def wall_millis(ts: Column) -> Column:
+    """Epoch milliseconds of a timestamp's own clock, whatever the session's zone."""
+    day = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60
+    return (day * 86_400 + seconds) * 1000 + F.floor(F.extract(F.lit("SECOND"), ts) * 1000)
+
+
 def time_from_millis(ms: Column, period: Period) -> Column:
     """Exchange-local text of epoch milliseconds: a date for periods of a day or more, else a time."""
-    local = F.timestamp_seconds(F.floor(ms / 1000) + 8 * 3600)
-    return F.date_format(local, "yyyy-MM-dd" if period.daily else "yyyy-MM-dd HH:mm:ss")
+    local = F.floor(ms / 1000) + 8 * 3600  # the fixed offset of LOCAL_OFFSET
+    day = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(local / 86_400).cast("int")), "yyyy-MM-dd")
+    if period.daily:
+        return day
+    s = F.pmod(local, F.lit(86_400)).cast("int")
+    return F.concat(day, F.format_string(" %02d:%02d:%02d", F.floor(s / 3600), F.floor(s % 3600 / 60), s % 60))
 
 
 def session_bounds(date: Column) -> tuple[Column, Column]:

@@ -28,16 +28,17 @@ def over_tiny(a: Column, b: Column) -> Column:
     return a / F.greatest(b, F.lit(TINY))
 
 
-W = Window.partitionBy("symbol").orderBy("time")
+def by_symbol():
+    return Window.partitionBy("symbol").orderBy("time")
 
 
 def lag(name: str, rows: int) -> Column:
-    return F.lag(name, rows).over(W)
+    return F.lag(name, rows).over(by_symbol())
 
 
 def run(fn, x: Column | str, first: int, last: int = 0) -> Column:
     """fn of x over the rows from `first` to `last` rows back (first >= last)."""
-    return fn(x).over(W.rowsBetween(-first, -last))
+    return fn(x).over(by_symbol().rowsBetween(-first, -last))
 
 
 class Bars:
@@ -100,7 +101,7 @@ def prepare(frame: DataFrame) -> DataFrame:
     """The frame with indicators, plus what detectors read at several bars."""
     price = lambda x: F.col(x).cast("double")
     df = frame.withColumns({c: price(c) for c in ("open", "high", "low", "close", "volume")})
-    df = df.withColumns({"rn": F.row_number().over(W), "prev": lag("close", 1), "latest": F.lead("time").over(W).isNull()})
+    df = df.withColumns({"rn": F.row_number().over(by_symbol()), "prev": lag("close", 1), "latest": F.lead("time").over(by_symbol()).isNull()})
     df = df.withColumns(
         {
             "chg": F.when(F.col("prev") > 0, (F.col("close") - F.col("prev")) / F.col("prev")),
@@ -117,7 +118,7 @@ def prepare(frame: DataFrame) -> DataFrame:
             "kdj_cross": cross("k_9_3_3", "d_9_3_3"),
             "volume_cross": cross("volume_ma_5", "volume_ma_60"),
             "macd_cross": cross("macd_dif_12_26", "macd_dea_12_26_9"),
-            "dip": (F.col("low") <= lag("low", 1)) & (F.col("low") <= lag("low", 2)) & (F.col("low") <= F.lead("low", 1).over(W)) & (F.col("low") <= F.lead("low", 2).over(W)),
+            "dip": (F.col("low") <= lag("low", 1)) & (F.col("low") <= lag("low", 2)) & (F.col("low") <= F.lead("low", 1).over(by_symbol())) & (F.col("low") <= F.lead("low", 2).over(by_symbol())),
         }
     )
     slope, r2 = fit("close", 20)
