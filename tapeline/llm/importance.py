@@ -192,6 +192,6 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
 
 def keep_sampled(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 5) -> DataFrame:
     """The rows of docs that resample() keeps, with the columns of docs."""
-    gone = materialize(resample(docs, labels, k, seed).where(~F.col("kept")).select("row", F.col("doc_id").alias("of")).distinct(), "rejected")
-    same = (F.col("_row") == F.col("row")) & F.col("doc_id").cast("long").eqNullSafe(F.col("of"))
+    gone = materialize(resample(docs, labels, k, seed).where(~F.col("kept")).select(F.col("row").alias("_gone"), F.col("doc_id").alias("_of")).distinct(), "rejected")
+    same = (F.col("_row") == F.col("_gone")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_of"))
     return docs.withColumn("_row", row_hash(seed)).join(small(gone), same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
