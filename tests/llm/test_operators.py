@@ -287,20 +287,18 @@ def test_quality_ratio_by_hand(spark):
     """The ratio from the definition, with Spark's own hash of single n-grams."""
     df, labels, quality = corpus(spark, n=24)
     texts = {r.doc_id: r.text for r in df.collect()}
-    pairs = lambda ws: list(zip(ws, [*ws[1:], None], strict=True))
-    grams = {(a, b) for t in texts.values() for a, b in pairs(t.split())}
-    w, b = F.col("w"), F.col("n")
-    own = ngram_rules.bucket(w), ngram_rules.bucket(F.lit(""), F.right(w, F.lit(3)), F.right(b, F.lit(3)))
-    hashed = {(r.w, r.n): (r.a, r.b) for r in spark.createDataFrame(list(grams), "w string, n string").select("w", "n", own[0].alias("a"), own[1].alias("b")).collect()}
+    w = F.col("w")
+    seen = {w for t in texts.values() for w in t.split()}
+    hashed = {r.w: (r.a, r.b) for r in spark.createDataFrame([(x,) for x in seen], "w string").select("w", ngram_rules.bucket(F.xxhash64(w)).alias("a"), ngram_rules.bucket(F.xxhash64(F.substring(w, -3, 3), F.lit(3))).alias("b")).collect()}
     raw, good = collections.Counter(), collections.Counter()
     for d, t in texts.items():
-        for p in pairs(t.split()):
-            raw.update(hashed[p])
-            good.update(hashed[p] if quality[d] else ())
+        for x in t.split():
+            raw.update(hashed[x])
+            good.update(hashed[x] if quality[d] else ())
     size, s = ngram_rules.BUCKETS, ngram_rules.SMOOTHING
     log_p = lambda c, k: math.log((c[k] + s * c.total() / size + 1e-9) / (c.total() * (1 + s) + 1e-9 * size))
     for r in ngram_rules.quality_rules(df, labels).collect():
-        each = [log_p(good, k) - log_p(raw, k) for p in pairs(texts[r.doc_id].split()) for k in hashed[p]]
+        each = [log_p(good, k) - log_p(raw, k) for x in texts[r.doc_id].split() for k in hashed[x]]
         assert abs(r.ratio - sum(each) / len(each)) < 1e-9
 
 
