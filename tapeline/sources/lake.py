@@ -39,11 +39,13 @@ class Lake:
     def write(self, table: str, rows: DataFrame, merge: bool = True) -> dict[str, int]:
         """Merge rows into the table; returns rows and partitions written."""
         by = PARTITIONS[table]
+        if "source_row" not in rows.columns:  # the order in which rows came, for keeping the last
+            rows = rows.withColumn("source_row", F.monotonically_increasing_id())
         rows = rows.select(*[F.col(c).alias(ALIASES.get(c, c)) for c in rows.columns if c not in ("source_file", "source_row", "unused", *by[1:])], *[F.col(c) for c in ("source_file", "source_row") if c in rows.columns])
         rows = fr.day_keys(rows) if table == "minute_bars_1m" else fr.month_keys(rows)
         rows = fr.drop_null_keys(rows, ("symbol", "time", *by)) if "exchange" in rows.columns else rows.withColumn("exchange", F.get(F.split("symbol", "\\."), F.lit(1)))
         order: list[Column] = [F.col(c) for c in ("source_file", "source_row") if c in rows.columns]
-        rows = fr.dedup(rows, order or [F.lit(0)]).drop("source_file", "source_row").withColumn("_new", F.lit(1))
+        rows = fr.dedup(rows, order).drop("source_file", "source_row").withColumn("_new", F.lit(1))
         # New rows are read twice (their partitions, then themselves): once written, once for all.
         staged = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
         rows.write.parquet(f"{staged}/new")
