@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -32,8 +34,23 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_own: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{scratch_root(spark)}/tapeline/{tag}-{uuid.uuid4().hex}"
+    """A new path in this application's part of the shared folder, which goes when the driver exits."""
+    top = f"{scratch_root(spark)}/tapeline/{spark.sparkContext.applicationId}"
+    if top not in _own:
+        _own.add(top)
+        path = spark._jvm.org.apache.hadoop.fs.Path(top)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+        def clean() -> None:
+            with contextlib.suppress(Exception):  # the JVM may be gone; nothing depends on it
+                fs.delete(path, True)
+
+        atexit.register(clean)
+    return f"{top}/{tag}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
