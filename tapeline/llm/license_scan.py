@@ -96,18 +96,18 @@ class Scanner:
         self.templates = [(name, w, Counter(w)) for name, t in sorted(templates.items()) if (w := words_of(t))]
         self.known = {w for _, ws, _ in self.templates for w in ws}
 
-    def best(self, words: list[str], places: dict[str, list[int]], template: list[str], need: Counter) -> tuple[float, int, int]:
-        """The best coverage of the template in any window around one of its rarest words, and where.
+    def windows(self, words: list[str], places: dict[str, list[int]], template: list[str], need: Counter) -> list[tuple[float, int, int]]:
+        """(coverage, first word, word behind the last) of the best window around each place of the
+        template's rarest words, where it reaches the coverage.
 
-        A window is taken around each place of the template's rarest words in this text and
-        reaches SPREAD times the template to both sides. At most (1 - coverage) of the
+        A window reaches SPREAD times the template to both sides. At most (1 - coverage) of the
         template may be missing, so among any floor((1 - coverage) * n) + 1 of its words one is
         there: the windows of that many rarest words miss no alignment that spans no more.
         """
         n = len(template)
         # No alignment can cover more than the words that are there at all.
-        if sum(min(c, len(places.get(w, ()))) for w, c in need.items()) < self.coverage * n:
-            return 0.0, 0, 0
+        if len(words) < self.coverage * n or sum(min(c, len(places.get(w, ()))) for w, c in need.items()) < self.coverage * n:
+            return []
         spare = int((1 - self.coverage) * n + 1e-9) + 1
         rare, got = [], 0
         for w in sorted(need, key=lambda w: (len(places.get(w, ())), w)):
@@ -115,58 +115,72 @@ class Scanner:
             got += need[w]
             if got >= spare:
                 break
-        best = (0.0, 0, 0)
-        at = sorted({p for w in rare for p in places.get(w, ())})
-        reach, done = SPREAD * n, -1
-        for p in at:
-            if p <= done:
+        found, tried, done = [], set(), -1
+        reach = SPREAD * n
+        for p in sorted({p for w in rare for p in places.get(w, ())}):
+            if p < done:
                 continue
-            # First a wide window, then the place that the word's own place in the template gives:
-            # where copies stand side by side, no word is unique in the wide one.
-            for low, high in [(p - reach, p + reach), *((p - j - spare, p - j + n + spare) for j, w in enumerate(template) if w == words[p])]:
+            # The places that the word's own places in the template give, then a wide window: where
+            # copies stand side by side, no word is unique in the wide one.
+            best = (0.0, 0, 0)
+            for low, high in [*((p - j - spare, p - j + n + spare) for j, w in enumerate(template) if w == words[p]), (p - reach, p + reach)]:
                 low, high = max(0, low), min(len(words), high)
+                if (low, high) in tried:
+                    continue
+                tried.add((low, high))
                 pairs = align(words[low:high], template)
-                share = len(pairs) / n
-                if share > best[0]:
-                    best = (share, low + pairs[0][0], low + pairs[-1][0] + 1)
-                if share >= self.coverage:
-                    done = low + pairs[-1][0]
-                    break
-        return best
+                if len(pairs) >= self.coverage * n:
+                    share, first, last = len(pairs) / n, low + pairs[0][0], low + pairs[-1][0] + 1
+                    if (share, first - last) > (best[0], best[1] - best[2]):
+                        best = (share, first, last)
+            if best[0]:
+                found.append(best)
+                # Words inside a match that holds this one are not tried again; one that lies
+                # elsewhere leaves them to be tried.
+                if best[1] <= p < best[2]:
+                    done = best[2]
+        return found
 
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
-        """(template, coverage, first word, word behind the last) of each template found.
+        """(template, coverage, first word, word behind the last) of each notice found.
 
-        Of found templates that overlap in the text the one of the greatest coverage stays, then
-        the longest, then the first by name.
+        Of found notices that overlap in the text the one of the greatest coverage stays, then the
+        longest, then the first by name. The text between those that stay is scanned again, so a
+        notice that loses one place to a better one is still found at its others. The list is in
+        the same order.
         """
         words = words_of(text)
-        places: dict[str, list[int]] = {}
-        known = self.known
-        for i, w in enumerate(words):
-            if w in known:
-                places.setdefault(w, []).append(i)
-        found = []
-        for name, template, need in self.templates:
-            share, low, high = self.best(words, places, template, need)
-            if share >= self.coverage:
-                found.append((-share, -len(template), name, low, high))
-        kept: list[tuple[str, float, int, int]] = []
-        for share, _, name, low, high in sorted(found):
-            if all(high <= a or b <= low for _, _, a, b in kept):
-                kept.append((name, -share, low, high))
-        return kept
+        kept: list[tuple[float, int, str, int, int]] = []
+        todo = [(0, len(words))]
+        while todo:
+            start, stop = todo.pop()
+            part = words[start:stop]
+            places: dict[str, list[int]] = {}
+            for i, w in enumerate(part):
+                if w in self.known:
+                    places.setdefault(w, []).append(i)
+            found = [(-share, -len(t), name, high - low, start + low, start + high) for name, t, need in self.templates for share, low, high in self.windows(part, places, t, need)]
+            spans: list[tuple[int, int]] = []
+            for share, n, name, _, low, high in sorted(set(found)):
+                # The kept spans are disjoint and in order: only the neighbours can overlap.
+                at = bisect_left(spans, (low, high))
+                if (at == 0 or spans[at - 1][1] <= low) and (at == len(spans) or high <= spans[at][0]):
+                    spans.insert(at, (low, high))
+                    kept.append((share, n, name, low, high))
+            if spans:
+                todo += zip([start, *(b for _, b in spans)], [*(a for a, _ in spans), stop], strict=True)
+        return [(name, -share, low, high) for share, _, name, low, high in sorted(kept)]
 
 
 MATCHES = "array<struct<license:string,coverage:double,start:int,stop:int>>"
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
-    """The licence templates found in each whole text, one row for each row of docs.
+    """Every licence notice found in each whole text, one row for each row of docs.
 
-    Returns doc_id, n_matches, best (the template of the greatest coverage, then of the most words,
+    Returns doc_id, n_matches (notices, each occurrence of a template counted), best (the template of the greatest coverage, then of the most words,
     then first by name; null if none), best_coverage (0 if none) and matches (an array of license,
-    coverage, start and stop, in words of the text). Null texts count as empty and match nothing;
+    coverage, start and stop, in words of the text, one for each occurrence, disjoint). Null texts count as empty and match nothing;
     null and repeated doc_ids stay; further columns are not read; an empty table gives an empty
     result. Each text is scanned where it lies; nothing is shuffled or sampled.
     """

@@ -350,6 +350,24 @@ def test_licences(spark):
     assert license_scan.license_scan(table(spark, [])).count() == 0
 
 
+def test_licences_repeated_and_mixed(spark):
+    """Every occurrence counts, side by side, far apart, and where a better notice takes another place."""
+    mit, gpl = "Released under the MIT License. ", "This work is licensed under the GNU General Public License, version 3. "
+    texts = [mit * 4, mit + "x " * 500 + mit, (mit + gpl) * 3, gpl + "y " * 9 + mit + mit]
+    got = {r.doc_id: r for r in license_scan.license_scan(table(spark, texts)).collect()}
+    found = [[(m.license, m.start, m.stop) for m in sorted(got[k].matches, key=lambda m: m.start)] for k in range(len(texts))]
+    assert found == [
+        [("MIT", 5 * k, 5 * k + 5) for k in range(4)],
+        [("MIT", 0, 5), ("MIT", 505, 510)],
+        [m for k in range(0, 51, 17) for m in (("MIT", k, k + 5), ("GPL-3.0", k + 5, k + 17))],
+        [("GPL-3.0", 0, 12), ("MIT", 21, 26), ("MIT", 26, 31)],
+    ]
+    assert [got[k].n_matches for k in range(len(texts))] == [4, 2, 6, 3]
+    # Of two templates that overlap the longer stays; the other is found where it stands alone.
+    two = license_scan.Scanner({"a": "one two three four five", "b": "three four five six seven eight"}, 1.0)
+    assert [m[0] for m in two.scan("one two three four five six seven eight x one two three four five")] == ["b", "a"]
+
+
 def test_alignment():
     r = random.Random(0)
     for _ in range(300):
