@@ -368,6 +368,26 @@ def test_licences_repeated_and_mixed(spark):
     assert [m[0] for m in two.scan("one two three four five six seven eight x one two three four five")] == ["b", "a"]
 
 
+def test_licence_families(spark):
+    """Relatives are told apart, full texts are found under their names."""
+    full = {k: t for k, t in license_scan.default_templates().items() if k.endswith("-full")}
+    lead = "This work is licensed under the GNU "
+    texts = [
+        lead + "Affero General Public License, version 3.", lead + "Lesser General Public License, version 3.", lead + "Library Public License, version 3.", "Released under the BSD License.",
+        "Licensed under CC BY 3.0.", "Licensed under CC BY 2.0.", "Released under the Some License.", "This program is licensed under the GNU General Public License, version 3.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at", "Licensed under CC0 1.0.",
+    ]
+    best = ["AGPL-3.0", "LGPL-3.0", None, "BSD", "CC-BY-3.0", None, None, "GPL-3.0", "EPL-2.0-header", "CC0-1.0"]
+    got = {r.doc_id: r for r in license_scan.license_scan(table(spark, texts + ["some words before " + t.replace("{", "").replace("}", "") + " and some behind" for t in full.values()])).collect()}
+    assert [got[k].best for k in range(len(texts))] == best
+    assert [[(m.license, m.coverage) for m in got[len(texts) + k].matches] for k in range(len(full))] == [[(name, 1.0)] for name in full]
+    assert all("{" in full[f"{name}-full"] for name in license_scan.TITLES)
+    assert {x.split("-")[0] for x in full} == {"Apache", "BSD", "CC0", "EPL", "GPL", "ISC", "LGPL", "MIT", "MPL", "Unlicense"}
+    # A template of few words has to be there whole.
+    few = license_scan.Scanner({"a": "one two three four five"}, 0.8)
+    assert few.scan("one two three four x") == few.scan("one two x three four five") == [] and len(few.scan("x one two three four five x")) == 1
+
+
 def test_alignment():
     r = random.Random(0)
     for _ in range(300):
