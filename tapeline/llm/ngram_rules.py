@@ -9,8 +9,8 @@ from tapeline.llm.common import SPACE_CLASS, let, materialize
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "[#*$%&|<>]"
-#: Buckets of the hashed n-grams (words, and the last three characters of each word); the size of
-#: all that is sent to tasks.
+#: Buckets of the hashed n-grams (words, the last three characters of each word and, with pairs,
+#: neighbouring words); the size of all that is sent to tasks.
 BUCKETS = 1 << 14
 #: So many trusted documents at most make the target model.
 TRUSTED_ROWS = 20_000
@@ -37,13 +37,18 @@ def ending(word: Column) -> Column:
     return F.xxhash64(F.substring(word, -3, 3), F.lit(3))
 
 
+def neighbours(hashes: Column) -> Column:
+    """The hashes of all pairs of neighbouring words, from the words' hashes."""
+    return F.transform(F.slice(hashes, 1, F.greatest(F.size(hashes) - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(hashes, i + 1)))
+
+
 def trusted_sample(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
     """doc_id of at most rows labelled documents of quality 1, chosen by hash: a bounded sample."""
     good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
-def model(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+def model(docs: DataFrame, trusted: DataFrame, pairs: bool = False) -> DataFrame:
     """One row with the array `weights`: each bucket's log ratio of trusted to raw probability.
 
     The raw model counts the n-grams of every document, the trusted model those of the documents
@@ -54,8 +59,12 @@ def model(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     mark = F.broadcast(trusted.withColumn("trusted", F.lit(1)))
     # One row for each word and bucket, made and counted in one compiled stage.
-    words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(mark, "doc_id", "left").select(F.explode(words_of(F.col("text"))).alias("w"), F.coalesce("trusted", F.lit(0)).alias("trusted"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(mark, "doc_id", "left").select(words_of(F.col("text")).alias("words"), F.coalesce("trusted", F.lit(0)).alias("trusted"))
+    words = texts.select(F.explode("words").alias("w"), "trusted")
     found = words.select(F.explode(F.array(bucket(F.xxhash64("w")), bucket(ending(F.col("w"))))).alias("bucket"), "trusted")
+    if pairs:
+        hashed = texts.select(F.transform("words", lambda w: F.xxhash64(w)).alias("h"), "trusted")
+        found = found.union(hashed.select(F.explode(neighbours(F.col("h"))).alias("h"), "trusted").select(bucket(F.col("h")).alias("bucket"), "trusted"))
     counts = found.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("good"))
     spark = docs.sparkSession
     full = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0, ["raw", "good"])
@@ -84,13 +93,13 @@ def sorted_places(windows: Column) -> Column:
     return let(F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), again)
 
 
-def judged(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, cut: float = CUT, pairs: bool = False) -> DataFrame:
     """docs, all columns, with a struct column _rules of the counts, ratio, base_failed and kept.
 
     Three-word windows are told apart by 64-bit hashes of their words' hashes. The columns are made
     step by step, each used more than once by the next, so none is computed again within another.
     """
-    weights = model(docs, trusted_sample(labels)).scalar()
+    weights = model(docs, trusted_sample(labels), pairs).scalar()
     own = [F.col(f"`{c}`") for c in docs.columns]
     df = docs.select(*own, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"), weights.alias("_weights"))
     df = df.select("*", words_of(F.col("_text")).alias("_words"))
@@ -106,6 +115,10 @@ def judged(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     worded = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     w = F.col("_weights")
     sums = F.aggregate(h, F.lit(0.0), lambda a, x: a + F.get(w, bucket(x))) + F.aggregate("_words", F.lit(0.0), lambda a, x: a + F.get(w, bucket(ending(x))))
+    grams = 2 * n
+    if pairs:
+        sums = sums + F.aggregate(neighbours(h), F.lit(0.0), lambda a, x: a + F.get(w, bucket(x)))
+        grams = 3 * n - 1
     df = df.select(
         *own,
         F.struct(
@@ -114,7 +127,7 @@ def judged(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
             F.regexp_count("_text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
             let(worded, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             let(places, covered).cast("long").alias("n_repeat_words"),
-            F.when(n == 0, F.lit(0.0)).otherwise(sums / (2 * n)).alias("ratio"),
+            F.when(n == 0, F.lit(0.0)).otherwise(sums / grams).alias("ratio"),
         ).alias("_r"),
     )
     failed = (F.col("_r.n_words") < 50) | (100 * F.col("_r.n_repeat_words") > 50 * F.col("_r.n_words"))
@@ -125,20 +138,21 @@ def judged(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     return df.select(*own, rules.alias("_rules"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, cut: float = CUT, pairs: bool = False) -> DataFrame:
     """Base counts, base_failed and kept of every document, one row for each row of docs.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
     and ratio. Null texts count as empty: no words, base_failed. Null and repeated doc_ids stay; a
     null one is never trusted. Further columns are not read; empty tables give an empty result,
-    and without trusted documents all ratios are 0, so the base rules decide. Whole texts are
+    and without trusted documents all ratios are 0, so the base rules decide. With pairs the ratio
+    also counts pairs of neighbouring words, so it depends on their order. Whole texts are
     scored where they lie: nothing is shuffled but bucket counts.
     """
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = judged(picked, labels, cut).select("doc_id", "_rules.*")
+    found = judged(picked, labels, cut, pairs).select("doc_id", "_rules.*")
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
 
 
-def keep_by_rules(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+def keep_by_rules(docs: DataFrame, labels: DataFrame, cut: float = CUT, pairs: bool = False) -> DataFrame:
     """The rows of docs that the rules keep, with the columns of docs."""
-    return judged(docs, labels, cut).where("_rules.kept").drop("_rules")
+    return judged(docs, labels, cut, pairs).where("_rules.kept").drop("_rules")

@@ -73,7 +73,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tapeline.llm.ngram_rules import quality_rules
 
-    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), pairs=True)
 
 
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -302,6 +302,18 @@ def test_quality_ratio_by_hand(spark):
         assert abs(r.ratio - sum(each) / len(each)) < 1e-9
 
 
+def test_quality_ratio_depends_on_word_order(spark, tmp_path):
+    """The registered query tells a text from its words in another order."""
+    r = random.Random(3)
+    words = [f"w{k:02d}" for k in range(60)]
+    texts = [" ".join(words)] * 3 + [" ".join(r.sample(words, 60)) for _ in range(3)]
+    labels = spark.createDataFrame([(k, int(k < 2), 0) for k in range(6)], "doc_id long, quality int, toxic int")
+    table(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    ratio = {x.doc_id: x.ratio for x in QUERIES["op9_ngram_quality_rules"](spark, f"file://{tmp_path}").collect()}
+    assert min(ratio[k] for k in range(3)) > max(ratio[k] for k in range(3, 6)) + 0.1
+
+
 def test_importance_resampling(spark):
     df, labels, quality = corpus(spark)
     got = {r.doc_id: r for r in importance.resample(df, labels).collect()}
