@@ -11,10 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The first tier: so many frequent pre-tokens at most, found in so many rows at most, of texts of so
-#: many bytes at most. These bound what reaches the driver and what is broadcast, and change only the
-#: speed: every other pre-token is encoded when it comes.
-TABLE_SIZE, TABLE_ROWS, TABLE_TEXT = 65_536, 2_000, 16_384
+#: The first tier: so many frequent pre-tokens at most, of all documents. Each task that counts them
+#: keeps so many counters at most. These bound what is shuffled, what reaches the driver and what is
+#: broadcast, and change only the speed: every other pre-token is encoded when it comes.
+TABLE_SIZE, COUNTERS = 65_536, 262_144
 #: The second tier: so many pre-tokens at most in each worker's cache.
 CACHE_SIZE = 1_200_000
 
@@ -88,27 +88,41 @@ def counter(path: str) -> TokenCounter:
     return _counters[path]
 
 
+def heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The most frequent pre-tokens of a task's texts with their counts, at most TABLE_SIZE.
+
+    Beyond COUNTERS counters all are lowered by the count that half of them do not exceed, and
+    those at zero are dropped (Misra and Gries' heavy hitters): what is frequent stays.
+    """
+    seen: Counter[str] = Counter()
+    for batch in batches:
+        for t in batch.column(0):
+            if text := t.as_py():
+                seen.update(p for p in CUT.findall(" " + text.replace(MARK, " ")) if len(p) <= 64)
+                if len(seen) > COUNTERS:
+                    less = sorted(seen.values())[len(seen) // 2]
+                    seen = Counter({p: n - less for p, n in seen.items() if n > less})
+    top = heapq.nlargest(TABLE_SIZE, ((n, p) for p, n in seen.items()))
+    yield pa.RecordBatch.from_arrays([pa.array([p for _, p in top], pa.string()), pa.array([n for n, _ in top], pa.int64())], ["part", "n"])
+
+
 def frequent_lengths(docs: DataFrame, path: str) -> dict[str, int]:
-    """The first tier: lengths of the most frequent pre-tokens of TABLE_ROWS texts at most."""
+    """The first tier: lengths of the most frequent pre-tokens of all texts, merged from bounded
+    counts of each task."""
     c = counter(path)
     if not c.by_part:
         return {}
-    text = F.col("text").cast("string")
-    # collect() of a limit reads partitions one by one until it has enough; nothing is shuffled.
-    rows = docs.select(text.alias("text")).where(F.octet_length("text") <= TABLE_TEXT).limit(TABLE_ROWS).collect()
-    seen: Counter[str] = Counter()
-    for r in rows:
-        if r["text"]:
-            seen.update(CUT.findall(" " + r["text"].replace(MARK, " ")))
-    top = heapq.nlargest(TABLE_SIZE, ((n, p) for p, n in seen.items() if len(p) <= 64 and n > 1))
-    return {p: c.part(p) for _, p in top}
+    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(heavy, "part string, n long")
+    top = counts.groupBy("part").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "part").limit(TABLE_SIZE)
+    return {r["part"]: c.part(r["part"]) for r in top.collect()}
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
     """Count the tokens of every whole text: doc_id, n_bytes, n_tokens, over_limit.
 
     A null text counts as empty: 0 bytes, 0 tokens. null or repeated doc_ids stay as they are;
-    further columns are not read; an empty table gives an empty result. Nothing is shuffled.
+    further columns are not read; an empty table gives an empty result. Nothing is shuffled but
+    the bounded counts of the first tier.
     """
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path))
 

@@ -242,6 +242,14 @@ def test_token_counts(spark):
     assert [r.n_tokens for r in sorted(few, key=lambda r: r.doc_id)] == [3, 0]
 
 
+def test_frequent_pre_tokens_are_of_all_documents(spark, monkeypatch):
+    """The first rows and short texts hold none of what is frequent behind them."""
+    df = table(spark, ["rare words here"] * 2_100 + ["common " * 20_000] * 2).coalesce(1)
+    monkeypatch.setattr(token_counts, "TABLE_SIZE", 2)
+    found = token_counts.frequent_lengths(df, PIECES)
+    assert len(found) <= 2 and " common" in found
+
+
 def brute_rules(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
