@@ -86,6 +86,20 @@ def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if stored_bytes(df) <= limit else df
 
 
+def with_row(docs: DataFrame) -> DataFrame:
+    """doc_id, text, row (a hash of the text) and own, a struct of all columns: whatever the
+    table's columns are called, those that an operator adds clash with none."""
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("row"), own.alias("own"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, changed: dict[str, Column] | None = None) -> DataFrame:
+    """The columns of docs out of own, some of them changed."""
+    changed = changed or {}
+    return rows.select(*[changed.get(c, F.col("own").getField(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+
+
 def let(value: Column, body) -> Column:
     """Evaluate value once for each row and hand it to body as a lambda variable."""
     return F.transform(F.array(value), body)[0]
