@@ -73,9 +73,30 @@ def fill(counts: dict[int, int], capacity: int) -> Plan:
         left[n] = c
     there = left > 0
     there[0] = False
-    pairs = np.zeros(capacity + 1, np.int64)  # ordered pairs of lengths left, by their sum
+    # Ordered pairs and triples of lengths left, by their sum. Lengths go in and out one by one.
+    known = np.zeros(capacity + 1, bool)
+    pairs, triples = np.zeros(capacity + 1, np.int64), np.zeros(capacity + 1, np.int64)
+
+    def put(n: int, sign: int) -> None:
+        """Add (sign 1) a length to the indexes of sums, or take it out (-1)."""
+        if sign < 0:
+            known[n] = False
+            pairs[n:] -= 2 * known[: capacity + 1 - n]  # with each other length, in both orders
+            if 2 * n <= capacity:
+                pairs[2 * n] -= 1  # with itself
+        triples[n:] += sign * 3 * pairs[: capacity + 1 - n]  # once, with two others
+        if 2 * n <= capacity:
+            triples[2 * n :] += sign * 3 * known[: capacity + 1 - 2 * n]  # twice, with one other
+        if 3 * n <= capacity:
+            triples[3 * n] += sign
+        if sign > 0:
+            pairs[n:] += 2 * known[: capacity + 1 - n]
+            if 2 * n <= capacity:
+                pairs[2 * n] += 1
+            known[n] = True
+
     for x in np.flatnonzero(there):
-        pairs[x:] += there[: capacity + 1 - x]
+        put(int(x), 1)
 
     def two(gap: int, used: dict[int, int]) -> tuple[int, ...] | None:
         """The pair with the longest member that fills gap and is left once more."""
@@ -100,7 +121,7 @@ def fill(counts: dict[int, int], capacity: int) -> Plan:
             return (gap,)
         if pair := two(gap, used):
             return pair
-        if gap < 3:
+        if not triples[gap]:
             return None
         z = np.arange(gap - 2, 0, -1)
         for c in z[there[z] & (pairs[gap - z] > 0)]:
@@ -141,10 +162,7 @@ def fill(counts: dict[int, int], capacity: int) -> Plan:
             left[n] -= used[n] * times
             if not left[n]:
                 there[n] = False
-                pairs[n:] -= there[: capacity + 1 - n]  # with each other length, in one order
-                pairs[n:] -= there[: capacity + 1 - n]  # and in the other
-                if 2 * n <= capacity:
-                    pairs[2 * n] -= 1  # with itself
+                put(n, -1)
         sequences += times
     slots.sort()
     cols = [np.array(c, np.int64) for c in zip(*slots, strict=True)] or [np.zeros(0, np.int64)] * 5
@@ -158,15 +176,17 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     sequences for all items of a length at once; the plan, whose size is bounded by the capacity
     alone, is sent to the tasks. A piece's rank among those of its length comes from its rank in a
     salted part of that length plus the sizes of the parts before, so a length that a third of all
-    rows share is spread over many tasks. Repeated rows get places of their own; which of them gets
-    which is left open. An empty table gives an empty result.
+    rows share is spread over many tasks. The salt is the turn in which rows come, which is why it
+    is written with them first: it deals out repeated rows as evenly as any. Repeated rows get
+    places of their own; which of them gets which is left open. An empty table gives an empty
+    result.
     """
     spark = pieces.sparkSession
     extra = [c for c in pieces.columns if c not in ("doc_id", "piece", "length")]
-    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(salts(spark))).cast("int")
+    salted = materialize(pieces.withColumn("_salt", turn), "pieces")
+    counts = {r["length"]: r["n"] for r in salted.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = spark.sparkContext.broadcast(fill(counts, capacity))
-    # Salted by all that tells rows apart: repeated rows fall together, and may in any order.
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", *extra), F.lit(salts(spark))).cast("int"))
     parts = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -199,5 +219,4 @@ def best_fit_packing(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_
     Null texts count as empty (the end id alone); a null doc_id stays null; further columns of
     docs are not read. An empty table gives an empty result.
     """
-    pieces = materialize(token_pieces(docs, tokenizer, capacity, end_id), "pieces")
-    return pack(pieces, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return pack(token_pieces(docs, tokenizer, capacity, end_id), capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
