@@ -10,6 +10,7 @@ where the rest is.
 
 from __future__ import annotations
 
+import math
 import struct
 import uuid
 import zlib
@@ -29,6 +30,8 @@ END_ID = 2
 MAGIC = b"TPLSST01"
 BLOCK_BYTES = 64 << 10
 BLOOM_BITS, BLOOM_PROBES = 10, 7
+#: A shard holds about so many bytes of text and so many documents at most.
+SHARD_BYTES, SHARD_DOCUMENTS = 256 << 20, 1 << 20
 #: index place and size, Bloom place and size, entries, tokens, bytes per id, CRC of index and Bloom filter, magic
 FOOTER = struct.Struct("<QQQQQQII8s")
 
@@ -67,11 +70,25 @@ def probes(key: bytes, bits: int) -> list[int]:
     return [(a + k * b) % bits for k in range(BLOOM_PROBES)]
 
 
+#: What pyarrow calls the object stores that Hadoop has other names for.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def qualified(docs: DataFrame, folder: str) -> str:
+    """The folder as Spark takes it: without a scheme it lies in the cluster's default file system."""
+    spark = docs.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def file_system(uri: str):
-    """The file system of a URI and the path in it: local folders, HDFS and object stores alike."""
+    """The file system of a qualified URI and the path in it: local folders, HDFS and object stores."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    scheme, _, rest = uri.partition(":")
+    if not rest or "/" in scheme:
+        raise ValueError(f"{uri} has no scheme")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest.removeprefix('//')}")
 
 
 class ShardWriter:
@@ -185,17 +202,27 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, shards: int | Non
     """Encode whole texts and write them into shards of ascending, disjoint key ranges.
 
     Returns the manifest (shard, uri, documents, tokens), already written, one row for each shard.
-    The bounds are quantiles of doc_id alone, so texts are encoded once and dealt out once; equal
-    identifiers between two equal bounds are dealt over all shards between them. A shard is
+    Their number follows from the bytes and rows of docs, and is no less than that of the shuffle's
+    partitions. Rows without doc_id come first and have shards of their own, as many as their
+    share. The bounds of the others are quantiles of doc_id alone, so texts are encoded once and
+    dealt out once; equal identifiers between two equal bounds are dealt over all shards between
+    them. Bounds are rough, but whole numbers that doc_ids are compared with exactly. A shard is
     written under a name of its own for each attempt and listed only by the attempt that ended
     well: lost executors and repeated attempts do no harm.
     """
     spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows, named, size, least, most = picked.agg(F.count("*"), F.count("doc_id"), F.sum(F.octet_length("text")), F.min("doc_id"), F.max("doc_id")).first()
+    if shards is None:
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((size or 0) / SHARD_BYTES), math.ceil(rows / SHARD_DOCUMENTS))
+    nulls = math.ceil(shards * (rows - named) / rows) if rows > named else 0
+    shards = max(1, shards - nulls) if named else 0
     cuts = [k / shards for k in range(1, shards)]
-    found = picked.stat.approxQuantile("doc_id", cuts, 1 / (8 * shards)) if cuts else []
-    bounds = np.array(found, np.float64)
+    # Quantiles are of doubles, so they are taken of the distance from the least doc_id.
+    base = least if named and most - least < 2**62 else 0
+    found = picked.select((F.col("doc_id") - F.lit(base)).alias("x")).stat.approxQuantile("x", cuts, 1 / (8 * shards)) if cuts else []
+    bounds = np.array([min(max(int(x) + base, -(2**63)), 2**63 - 1) for x in found], np.int64)
+    folder = qualified(docs, folder)
     end = int(end_id).to_bytes(4, "little")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,8 +235,11 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, shards: int | Non
             for doc_id, text in zip(doc_ids, batch.column(1), strict=True):
                 got = enc.encode(text.as_py() or "") + end
                 ids.append(got if wide else np.frombuffer(got, "<u4").astype("<u2").tobytes())
-                low, high = (np.searchsorted(bounds, doc_id, side) for side in ("left", "right")) if doc_id is not None else (0, 0)
-                to.append(int(low) + n % (int(high - low) + 1))
+                if doc_id is None:
+                    to.append(n % nulls)
+                else:
+                    low, high = (int(np.searchsorted(bounds, np.int64(doc_id), side)) for side in ("left", "right"))
+                    to.append(nulls + low + n % (high - low + 1))
                 n += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(to, pa.int32()), pa.array(doc_ids, pa.int64()), pa.array(ids, pa.binary()), pa.array([4 if wide else 2] * len(to), pa.int32())],
@@ -236,7 +266,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, shards: int | Non
             )
 
     dealt = picked.mapInArrow(encode, "shard int, doc_id long, ids binary, id_bytes int")
-    ordered = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
+    ordered = dealt.repartitionById(max(1, nulls + shards), F.col("shard")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
     return materialize(ordered.mapInArrow(write, "shard int, uri string, documents long, tokens long"), "manifest")
 
 
