@@ -28,6 +28,8 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tapeline-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()
@@ -142,7 +144,7 @@ def components(edges: DataFrame, tag: str) -> DataFrame:
         )
         edges = materialize(moved, f"{tag}-edges")
     if not maps:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        return materialize(edges.select(F.col("a").alias("node"), F.col("b").alias("root")), f"{tag}-roots")
     # From the last round to the first: where a round sent a node, later rounds may send it on.
     whole = maps[-1]
     for earlier in reversed(maps[:-1]):

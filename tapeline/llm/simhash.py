@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import components, materialize, small
+from tapeline.llm.common import components, materialize, small, unpacked, with_row
 
 #: Words of a shingle; the seed of its XXH64.
 SHINGLE, SEED = 4, 42
@@ -41,15 +41,17 @@ def fingerprint(text: str) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and the fingerprint of each whole text as a signed long; a null text has no words."""
+    """doc_id, row (a hash of the text) and the fingerprint of each whole text as a signed long; a
+    null text has no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = np.array([fingerprint(t.as_py() or "") for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(got.view(np.int64))], ["doc_id", "row", "fp"])
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("row"))
+    return picked.mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def covering_masks(bits: list[int], radius: int, seed: int) -> list[int]:
@@ -169,6 +171,18 @@ def links(distinct: DataFrame, radius: int, limit: int = BUCKET) -> DataFrame:
     return edges.union(materialize(second, "covering").select("a", "b"))
 
 
+def grouped(docs: DataFrame, radius: int) -> DataFrame:
+    """doc_id, row, fp, root (a fingerprint that names the component) and component_id of each row."""
+    prints = materialize(fingerprints(docs), "prints")
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    roots = components(links(distinct, radius), "simhash")
+    linked = distinct.join(small(roots).withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    linked = materialize(linked, "rooted")
+    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+    by_fp = materialize(linked.join(least, "root").select("fp", "root", "component_id"), "by-fp")
+    return prints.join(small(by_fp), "fp")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id reachable) of each row.
 
@@ -178,24 +192,22 @@ def near_duplicates(docs: DataFrame, radius: int = 4) -> DataFrame:
     has no other. Repeated rows stay. Further columns are not read; an empty table gives an empty
     result. Fingerprints, links and components stay distributed.
     """
-    prints = materialize(fingerprints(docs), "prints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(distinct, radius), "simhash")
-    linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    linked = materialize(linked, "rooted")
-    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = materialize(linked.join(least, "root").select("fp", "component_id"), "by-fp")
-    return prints.join(by_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return grouped(docs, radius).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, radius: int = 4) -> DataFrame:
-    """The documents of docs that stay when of each component only its smallest doc_id does.
+    """The documents of docs that stay when of each component only the first does.
 
-    A document without doc_id cannot be told apart and stays. Of repeated rows of the smallest
-    doc_id all stay.
+    The first is the smallest doc_id's (a null one comes last); of different texts under it, the
+    one with the least hash. A text under the same doc_id in another component is another document
+    and stays or goes with that. Equal rows are one document and stay or go together.
     """
-    found = near_duplicates(docs, radius)
-    gone = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    packed = with_row(docs)
+    found = materialize(grouped(packed.select("doc_id", "text"), radius).select("doc_id", "row", "root", "component_id"), "components")
+    many = found.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
+    many = found.join(small(materialize(many, "shared-roots")), "root", "left_semi")
+    first = many.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("row").alias("first"))
+    later = many.join(small(materialize(first, "first-rows")), "root").where(~F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("row") != F.col("first")))
+    gone = materialize(later.select(F.col("doc_id").alias("of"), F.col("row").alias("gone")).distinct(), "gone")
+    same = (F.col("row") == F.col("gone")) & F.col("doc_id").eqNullSafe(F.col("of"))
+    return unpacked(packed.join(small(gone), same, "left_anti"), docs)
