@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import materialize, small
+from tapeline.llm.common import materialize, small, unpacked, with_row
 
 #: Runs of letters and digits, and runs of anything else that is no white space.
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
@@ -20,34 +20,57 @@ BUCKETS = 1 << 16
 LABELLED_ROWS = 20_000
 #: Pseudo-counts for each bucket, as a share of the model's mean count.
 SMOOTHING = 0.05
-CACHE = 500_000
+CACHE = 200_000
 #: In the calibration a lost share of the good documents costs so many times a passed share of the bad.
 LOSS = 10
+#: Texts are cut into tokens so many characters at a time, and so many n-grams are counted at once.
+SLICE, GRAMS = 1 << 20, 1 << 20
+#: The first buckets are those of what is behind itself and of tokens of capitals.
+AGAIN, SHOUT, FIRST = 0, 1, 2
 
+GAP = re.compile(r"\s")
 _seen: dict[str, int] = {}
 
 
 def token_hash(token: str) -> int:
-    if len(_seen) >= CACHE:
-        _seen.clear()
-    h = _seen[token] = zlib.crc32(token.encode("utf-8", "surrogatepass"))
+    h = zlib.crc32(token.encode("utf-8", "surrogatepass"))
+    if len(token) <= 64:
+        if len(_seen) >= CACHE:
+            _seen.clear()
+        _seen[token] = h
     return h
 
 
-def grams(text: str) -> np.ndarray:
-    """Buckets of a text's tokens and pairs of neighbouring tokens.
+def slices(text: str) -> Iterator[str]:
+    """The text in parts that begin and end between tokens, since no token holds white space."""
+    at = 0
+    while at < len(text):
+        gap = GAP.search(text, at + SLICE)
+        end = gap.start() if gap else len(text)
+        yield text[at:end]
+        at = end
+
+
+def grams(text: str) -> Iterator[np.ndarray]:
+    """Buckets of a text's tokens and pairs of neighbouring tokens, a bounded part at a time.
 
     Tokens of two or more capitals also count as one shared token, as does any token right behind
     itself: what makes shouting and repetition shows whatever the words.
     """
-    tokens = TOKEN.findall(text)
-    get = _seen.get
-    h = np.fromiter([get(t) or token_hash(t) for t in tokens], np.uint64, len(tokens))
-    pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(40)
-    same = h[:-1] == h[1:]
-    pair[same] = 1
-    shout = np.fromiter([len(t) > 1 and t.isupper() for t in tokens], bool, len(tokens))
-    return np.concatenate((h % np.uint64(BUCKETS), pair % np.uint64(BUCKETS), np.full(int(shout.sum()), 2, np.uint64))).astype(np.int64)
+    last: list[int] = []
+    room = np.uint64(BUCKETS - FIRST)
+    for part in slices(text):
+        tokens = TOKEN.findall(part)
+        if not tokens:
+            continue
+        get = _seen.get
+        h = np.array(last + [get(t) or token_hash(t) for t in tokens], np.uint64)
+        pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(40)
+        pair = pair % room + np.uint64(FIRST)
+        pair[h[:-1] == h[1:]] = AGAIN
+        shout = sum(len(t) > 1 and t.isupper() for t in tokens)
+        yield np.concatenate((h[len(last) :] % room + np.uint64(FIRST), pair, np.full(shout, SHOUT, np.uint64))).astype(np.int64)
+        last = [int(h[-1])]
 
 
 def labelled_sample(labels: DataFrame, rows: int = LABELLED_ROWS) -> DataFrame:
@@ -66,14 +89,27 @@ def models(docs: DataFrame, sample: dict[int, int]) -> tuple[np.ndarray, np.ndar
     good = docs.sparkSession.sparkContext.broadcast(np.array(sorted(d for d, q in sample.items() if q == 1), np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        counts = {True: np.zeros(BUCKETS, np.int64), False: np.zeros(BUCKETS, np.int64)}  # by whether a text is of the target
+        held: dict[bool, list[np.ndarray]] = {True: [], False: []}
+        size = {True: 0, False: 0}
         ids = good.value
+
+        def add(to: bool) -> None:
+            if held[to]:
+                counts[to] += np.bincount(np.concatenate(held[to]), minlength=BUCKETS)
+                held[to], size[to] = [], 0
+
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                counts = np.bincount(grams(text.as_py() or ""), minlength=BUCKETS)
-                raw += counts
-                if doc_id is not None and (k := np.searchsorted(ids, doc_id)) < len(ids) and ids[k] == doc_id:
-                    target += counts
+                to = doc_id is not None and (k := np.searchsorted(ids, doc_id)) < len(ids) and bool(ids[k] == doc_id)
+                for part in grams(text.as_py() or ""):
+                    held[to].append(part)
+                    size[to] += len(part)
+                    if size[to] >= GRAMS:
+                        add(to)
+        add(True)
+        add(False)
+        raw, target = counts[True] + counts[False], counts[True]
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(raw[at]), pa.array(target[at])], ["bucket", "raw", "target"])
 
@@ -108,7 +144,7 @@ def weigh(docs: DataFrame, weights: np.ndarray, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = sent.value
         for batch in batches:
-            got = np.array([w[grams(t.as_py() or "")].sum() for t in batch.column(1)])
+            got = np.array([sum(float(w[part].sum()) for part in grams(t.as_py() or "")) for t in batch.column(1)], np.float64)
             u = (batch.column(2).to_numpy().view(np.uint64) >> np.uint64(11)).astype(np.float64) + 0.5
             key = got - np.log(-np.log(u / 2.0**53))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64()), pa.array(key, pa.float64()), batch.column(2)], ["doc_id", "log_weight", "key", "row"])
@@ -126,7 +162,8 @@ def calibrate(scored: DataFrame, sample: dict[int, int]) -> float:
     equals. Without either class nothing is cut off.
     """
     ids = docs_frame(scored, sample)
-    got = scored.join(F.broadcast(ids), "doc_id").select("log_weight", "quality").toPandas()
+    # One row for each sampled doc_id, however many rows carry it.
+    got = scored.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "quality").agg(F.min("log_weight").alias("log_weight")).toPandas()
     good, bad = (np.sort(got.log_weight[got.quality == q].to_numpy()) for q in (1, 0))
     if not len(good) or not len(bad):
         return -np.inf
@@ -192,6 +229,8 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
 
 def keep_sampled(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 5) -> DataFrame:
     """The rows of docs that resample() keeps, with the columns of docs."""
-    gone = materialize(resample(docs, labels, k, seed).where(~F.col("kept")).select(F.col("row").alias("_gone"), F.col("doc_id").alias("_of")).distinct(), "rejected")
-    same = (F.col("_row") == F.col("_gone")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_of"))
-    return docs.withColumn("_row", row_hash(seed)).join(small(gone), same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = with_row(docs)
+    judged = resample(packed.select("doc_id", "text"), labels, k, seed)
+    gone = materialize(judged.where(~F.col("kept")).select(F.col("row").alias("gone"), F.col("doc_id").alias("of")).distinct(), "rejected")
+    same = (row_hash(seed) == F.col("gone")) & F.col("doc_id").eqNullSafe(F.col("of"))
+    return unpacked(packed.join(small(gone), same, "left_anti"), docs)

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 #: The first tier: so many frequent pre-tokens at most, of all documents. Each task that counts them
 #: keeps so many counters at most. These bound what is shuffled, what reaches the driver and what is
 #: broadcast, and change only the speed: every other pre-token is encoded when it comes.
-TABLE_SIZE, COUNTERS = 65_536, 262_144
-#: The second tier: so many pre-tokens at most in each worker's cache.
-CACHE_SIZE = 1_200_000
+TABLE_SIZE, COUNTERS = 65_536, 131_072
+#: The second tier: bytes that a worker's cache may take, and what an entry takes beside its
+#: pre-token. Longer pre-tokens are not kept.
+CACHE_BYTES, ENTRY, LONGEST = 64 << 20, 160, 64
 
 MARK = "▁"
 #: White space led by the mark or a line end starts a pre-token, and no piece runs over its start.
@@ -28,6 +29,7 @@ class TokenCounter:
 
     def __init__(self, path: str):
         self.cache: dict[str, int] = {}
+        self.held = 0
         if path.endswith(".json"):
             import os
 
@@ -72,9 +74,12 @@ class TokenCounter:
             n = frequent.get(p) or cache.get(p)
             if n is None:
                 n = self.part(p)
-                if len(cache) >= CACHE_SIZE:
-                    cache.clear()
-                cache[p] = n
+                if len(p) <= LONGEST:
+                    self.held += ENTRY + len(p)
+                    if self.held > CACHE_BYTES:
+                        cache.clear()
+                        self.held = ENTRY + len(p)
+                    cache[p] = n
             total += n
         return total
 

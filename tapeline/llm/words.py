@@ -29,13 +29,19 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+#: Bytes that each of a worker's two caches of words may take, and what an entry takes beside its
+#: word and ids. Longer words are not kept.
+ROOM, ENTRY, LONGEST = 32 << 20, 200, 64
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
-    The caches hold at most `room` words each and are emptied when full, so memory is bounded.
+    The caches take at most `room` bytes each and are emptied when full, so memory is bounded
+    whatever the words are.
     """
 
-    def __init__(self, path: str, room: int = 1_000_000):
+    def __init__(self, path: str, room: int = ROOM):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -57,6 +63,17 @@ class WordEncoder:
         self.letters = byte_letters()
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.held = {"words": 0, "parts": 0}
+
+    def keep(self, name: str, word: bytes | str, ids: bytes) -> None:
+        if len(word) > LONGEST:
+            return
+        cache = getattr(self, name)
+        self.held[name] += ENTRY + len(word) + len(ids)
+        if self.held[name] > self.room:
+            cache.clear()
+            self.held[name] = ENTRY + len(word) + len(ids)
+        cache[word] = ids
 
     def whole(self, text: str) -> bytes:
         import numpy as np
@@ -66,9 +83,7 @@ class WordEncoder:
     def part(self, part: str) -> bytes:
         shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
         got = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(shown)])
-        if len(self.parts) >= self.room:
-            self.parts.clear()
-        self.parts[part] = got
+        self.keep("parts", part, got)
         return got
 
     def word(self, word: bytes) -> bytes:
@@ -80,9 +95,7 @@ class WordEncoder:
             got = self.whole(text)
         else:
             got = b"".join([self.parts.get(p) or self.part(p) for p in PLAIN_SPLIT.findall(text.lower())])
-        if len(self.words) >= self.room:
-            self.words.clear()
-        self.words[word] = got
+        self.keep("words", word, got)
         return got
 
     def encode(self, text: str) -> bytes:
