@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -113,6 +114,21 @@ def test_codec(spark):
     assert bpe_codec.round_trip(table(spark, []), RANKS, pattern()).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_index_of_sums(seed):
+    """The plan finds an exact fill by up to three lengths wherever there is one for the first gap."""
+    r = random.Random(seed)
+    for _ in range(60):
+        lengths = r.sample(range(1, 40), r.randint(3, 9))
+        top, rest = max(lengths), [n for n in lengths if n != max(lengths)]
+        gap = 60 - top
+        exact = any(sum(c) == gap for n in (1, 2, 3) for c in itertools.combinations(rest, n))
+        plan = packing.fill({n: 1 for n in lengths}, 60)
+        first = int(plan.sequence[plan.length == top][0])
+        filled = sum(int(n) for n, s in zip(plan.length, plan.sequence, strict=True) if s == first)
+        assert filled == 60 if exact else filled <= 60
+
+
 @pytest.mark.parametrize("size", [3, 20])
 def test_codec_cuts_are_safe(size, monkeypatch):
     monkeypatch.setattr(bpe_codec, "CUT_CHARS", size)
@@ -139,6 +155,33 @@ def test_shards(spark, word_bpe, tmp_path):
     assert sstable.token_shards(table(spark, []), WORD_BPE).count() == 0
 
 
+@pytest.mark.parametrize("nulls", [0, 120])
+@pytest.mark.parametrize("base", [0, 2**53 - 150, 2**60, 2**63 - 400, -(2**63)])
+def test_shards_of_large_identifiers(spark, word_bpe, tmp_path, base, nulls):
+    """start ascends with doc_id whatever its size, and rows without doc_id come first, dealt over shards."""
+    ids = [base + k for k in range(280)] + [base + 200] * 20 + [None] * nulls
+    random.Random(1).shuffle(ids)
+    df = table(spark, [f"word {i}" for i in ids], ids).repartition(3)
+    manifest = sstable.write_shards(df, WORD_BPE, f"file://{tmp_path}/sst", shards=6)
+    got = sorted(sstable.read_shards(manifest).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted(ids, key=lambda d: (d is not None, d or 0))
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    assert max(r.documents for r in manifest.collect()) <= 110
+
+
+def test_folders_without_a_scheme(spark, tmp_path):
+    """A bare path lies in the cluster's default file system."""
+    df = table(spark, ["some text", None])
+    assert sstable.qualified(df, str(tmp_path)) == f"file:{tmp_path}"
+    manifest = sstable.write_shards(df, WORD_BPE, f"{tmp_path}/bare", shards=1)
+    assert all(r.uri.startswith("file:/") for r in manifest.collect()) and sstable.read_shards(manifest).count() == 2
+    with pytest.raises(ValueError):
+        sstable.file_system("/no/scheme")
+
+
 def test_shard_blocks(tmp_path, monkeypatch):
     monkeypatch.setattr(sstable, "BLOCK_BYTES", 40)
     uri = f"file://{tmp_path}/x.sst"
@@ -187,11 +230,22 @@ def test_near_duplicates(spark):
             least[root(k)] = min(least.get(root(k), x.doc_id), x.doc_id)
     want = collections.Counter((x.doc_id, f"{f:016x}", least.get(root(k))) for k, (x, f) in enumerate(zip(rows, fps, strict=True)))
     assert collections.Counter(map(tuple, simhash.near_duplicates(df).collect())) == want
-    kept = {x.doc_id for x in simhash.keep_first(df).collect()}
-    assert kept == {None} | set(least.values())
+    kept = collections.Counter((x.doc_id, x.text) for x in simhash.keep_first(df).collect())
+    groups = collections.defaultdict(set)
+    for k, x in enumerate(rows):
+        groups[root(k)].add((x.doc_id, x.text))
+    assert set(kept) <= {(x.doc_id, x.text) for x in rows} and all(len(g & set(kept)) == 1 for g in groups.values())
+    assert {d for d, _ in kept} == set(least.values()) | {None for k in groups if k not in least}
     assert simhash.near_duplicates(table(spark, [])).count() == 0
 
 
+def test_first_of_a_group_by_row(spark):
+    """A copy under the number of a text of its own goes; that text stays."""
+    copy, own = "the same words here as in another document of this table", "a text of its own that nobody else in this table has"
+    kept = simhash.keep_first(table(spark, [copy, copy, own, own, "copies of nothing at all here", copy], [1, 7, 7, 7, 9, None])).collect()
+    assert collections.Counter((r.doc_id, r.text) for r in kept) == {(1, copy): 1, (7, own): 2, (9, "copies of nothing at all here"): 1}
+
+
 @pytest.mark.parametrize("limit", [2048, 2])
 def test_links_lose_no_pair(spark, limit):
     """With a limit of 2 all buckets go through the second family of masks."""
@@ -341,13 +395,24 @@ def test_importance_resampling(spark):
 def test_importance_weights_by_hand(spark):
     df, labels, quality = corpus(spark, n=24)
     texts = {r.doc_id: r.text for r in df.collect()}
-    counts = {d: np.bincount(importance.grams(t), minlength=importance.BUCKETS) for d, t in texts.items()}
+    counts = {d: sum(np.bincount(p, minlength=importance.BUCKETS) for p in importance.grams(t)) for d, t in texts.items()}
     raw, good = sum(counts.values()), sum(c for d, c in counts.items() if quality[d])
     w = importance.log_ratio(good.astype(float), raw.astype(float))
     for r in importance.resample(df, labels).collect():
         assert abs(r.log_weight - (w * counts[r.doc_id]).sum()) < 1e-6
 
 
+@pytest.mark.parametrize("size", [1, 7, 50])
+def test_grams_of_slices(size, monkeypatch):
+    """A long text in slices has the n-grams of the whole."""
+    text = "One two  TWO two,, two\n\n" * 9 + "x" * 80 + " end-of it ALL ALL"
+    whole = np.sort(np.concatenate([*importance.grams(text)]))
+    monkeypatch.setattr(importance, "SLICE", size)
+    parts = [*importance.grams(text)]
+    assert len(parts) > 1 and (np.sort(np.concatenate(parts)) == whole).all()
+    assert list(importance.grams("")) == list(importance.grams(" \n ")) == []
+
+
 def test_kth_key(spark):
     r = random.Random(0)
     keys = [r.choice((r.gauss(0, 1e6), 5.0, r.random())) for _ in range(400)]
@@ -427,16 +492,16 @@ def test_alignment():
 VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType()), T.StructField("v", T.StringType()), T.StructField("shard", T.IntegerType())])
 
 
-@pytest.mark.parametrize("sizes", [(2048, 16_384, 2048), (2, 7, 5)])
+@pytest.mark.parametrize("sizes", [(65_536, 2048, 4096), (3, 2, 5)])
 def test_top_k(spark, monkeypatch, sizes):
     monkeypatch.setattr(topk, "QUERY_BLOCK", sizes[0])
-    monkeypatch.setattr(topk, "SHARD", sizes[1])
+    monkeypatch.setattr(topk, "QUERY_TILE", sizes[1])
     monkeypatch.setattr(topk, "TILE", sizes[2])
     monkeypatch.setattr(topk, "FAN_IN", 2)
     r = random.Random(1)
     vecs = [(k, [r.choice((-0.5, 0.0, 0.25, 0.5)) for _ in range(4)]) for k in range(90)]
     vecs += [(100, None), (101, [None, 0.0, 0.0, 0.0]), (120, [float("nan"), 0.0, 0.0, 0.0]), (None, [1.0] * 4), (140, [float("inf")] * 4), (160, [1.0, 2.0]), (161, [0.5, 0.5]), (180, []), (60, vecs[60][1]), (7, vecs[7][1])]
-    vecs += [(200, [1e30, 0.0, 0.0]), (201, [1.0, 1.0, 1.0])]
+    vecs += [(200, [1e30, 0.0, 0.0]), (201, [1.0, 1.0, 1.0]), (220, [2.0**58, 3.0, 1.0]), (221, [2.0**-20, -7.0, 2.0])]
     got = [tuple(x) for x in topk.exact_top_k(spark.createDataFrame([(i, v, 0, "x", 1) for i, v in vecs], VECTORS), k=5).collect()]
     ok = [(i, [math.floor(64 * float(np.float32(x))) for x in v]) for i, v in vecs if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = []
