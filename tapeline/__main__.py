@@ -1,4 +1,4 @@
-"""python -m tapeline import {daily,index-daily,minute} FOLDER --lake LAKE"""
+"""python -m tapeline import {daily,index-daily,minute,minute-s3} FOLDER --lake LAKE"""
 
 from __future__ import annotations
 
@@ -6,19 +6,22 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tapeline.sources.lake import Lake
+from tapeline.sources.lake import PART_ROWS, Lake
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tapeline", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
     load = commands.add_parser("import", help="CSV and ZIP files into the lake (any file system that Spark reads and writes)")
-    load.add_argument("kind", choices=["daily", "index-daily", "minute"])
+    load.add_argument("kind", choices=["daily", "index-daily", "minute", "minute-s3"])
     load.add_argument("folder")
     load.add_argument("--lake", required=True)
+    load.add_argument("--part-rows", type=int, default=PART_ROWS, help="rows of a file of minute bars at most")
     args = parser.parse_args(argv)
+    if args.kind == "minute-s3" and not args.lake.startswith(("s3a://", "s3://")):
+        parser.error("minute-s3 writes to a lake at s3a://")
     spark = SparkSession.builder.appName("tapeline").getOrCreate()
-    print(Lake(spark, args.lake).import_files(args.kind, args.folder))
+    print(Lake(spark, args.lake, args.part_rows).import_files(args.kind.removesuffix("-s3"), args.folder))
 
 
 if __name__ == "__main__":

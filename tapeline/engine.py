@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import queue
+import threading
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,30 +18,45 @@ from tapeline.operators import scan
 from tapeline.operators.frame import between_dates
 from tapeline.operators.report import notify, report
 from tapeline.plans.jobs import Job, Jobs
+from tapeline.plans.schedule import Schedule
 from tapeline.sources.lake import Lake
-from tapeline.sources.readers import BarSource, Request
+from tapeline.sources.readers import BarSource, ChunkedSource, FallbackSource, Request, only_symbols
 from tapeline.streaming.quotes import QuoteLoop
 
 
 class Engine:
     def __init__(self, spark: SparkSession, config: Config | None = None, source: BarSource | None = None, send: Callable[[dict], int] | None = None):
-        self.spark, self.config, self.source, self.send = spark, config or Config(), source, send
-        self.lake, self.jobs = Lake(spark, self.config.lake), Jobs()
+        self.spark, self.config, self.send = spark, config or Config(), send
+        self.source = replace(source, enabled=source.enabled and self.config.fallback) if isinstance(source, FallbackSource) else source
+        self.lake, self.jobs = Lake(spark, self.config.lake, self.config.part_rows), Jobs()
         self.quotes: QuoteLoop | None = None
+        #: One sync at a time, whoever asks for it.
+        self.syncing = threading.Lock()
+        self.schedule: Schedule | None = None
 
     # Sync
 
     def _sync(self, table: str, symbols: Iterable[str], start: dt.date | None, end: dt.date | None, period: sc.Period, incremental: bool) -> dict:
         if self.source is None:
             raise ValueError("no bar source is configured")
-        end = end or dt.date.today()
-        start = start or (self.lake.next_start(table, end) if incremental else end)
-        if incremental and start > end:
-            return {"rows": 0, "partitions": 0}
-        bars = self.source.fetch(self.spark, Request(tuple(symbols), start, end, period))
-        out = self.lake.write(table, bars.drop("adjusted"))
-        self.lake.set_watermark(table, end)
-        return out
+        with self.syncing:
+            end = end or dt.date.today()
+            start = start or (self.lake.next_start(table, end) if incremental else end)
+            if incremental and start > end:
+                return {"rows": 0, "partitions": 0, "failures": []}
+            bars, failures = self._fetch(Request(tuple(symbols), start, end, period))
+            out = self.lake.write(table, bars)
+            self.lake.set_watermark(table, end)
+            return out | {"failures": failures}
+
+    def _fetch(self, request: Request) -> tuple[DataFrame, list[tuple[str, str]]]:
+        """The bars and the symbols that failed, with why. Sources that answer requests of bounded size
+        (bounded = True) are asked in chunks, as the settings say."""
+        if not getattr(self.source, "bounded", False):
+            return self.source.fetch(self.spark, request), []
+        sizes = self.config.daily if request.period.daily else self.config.minute
+        chunked = ChunkedSource(self.source, sizes.chunk_size, sizes.fetch_concurrency)
+        return chunked.fetch(self.spark, request), chunked.failures
 
     def sync_daily(self, symbols: Iterable[str], start: dt.date | None = None, end: dt.date | None = None, incremental: bool = False) -> dict:
         """Fetch daily bars (today's by default) and merge them into the lake; the mark moves when the data is committed."""
@@ -47,6 +65,52 @@ class Engine:
     def sync_minute(self, symbols: Iterable[str], start: dt.date | None = None, end: dt.date | None = None, incremental: bool = False) -> dict:
         return self._sync("minute_bars_1m", symbols, start, end, sc.Period.M1, incremental)
 
+    def sync_months(self, symbols: Iterable[str], start: dt.date, end: dt.date, ahead: int = 8) -> list[dict]:
+        """A long range of daily bars, fetched and committed month by month.
+
+        Fetched months wait in a queue of at most `ahead`; a fetch stops until there is room. The mark
+        follows each month that is committed, so an incremental sync goes on behind the last one.
+        """
+        if self.source is None:
+            raise ValueError("no bar source is configured")
+        symbols, waiting, done, failed = tuple(symbols), queue.Queue(max(1, ahead)), [], []
+
+        def write() -> None:
+            while (item := waiting.get()) is not None:
+                if not failed:
+                    try:
+                        last, (bars, failures) = item
+                        done.append(self.lake.write("daily_bars", bars) | {"until": last, "failures": failures})
+                        self.lake.set_watermark("daily_bars", last)
+                    except Exception as e:
+                        failed.append(e)
+
+        with self.syncing:
+            writer = threading.Thread(target=write, daemon=True)
+            writer.start()
+            try:
+                first = start
+                while first <= end and not failed:
+                    last = min(end, (first.replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1))
+                    waiting.put((last, self._fetch(Request(symbols, first, last))))
+                    first = last + dt.timedelta(days=1)
+            finally:
+                waiting.put(None)
+                writer.join()
+        if failed:
+            raise failed[0]
+        return done
+
+    def start_schedule(self, symbols: Callable[[], Iterable[str]]) -> Schedule:
+        """Today's daily and minute bars at the times of the settings, until the schedule is stopped.
+        A sync that fails is noted and tried again at its next time."""
+        today = lambda: dt.datetime.now(self.schedule.zone).date()
+        work = {self.config.daily_cron: lambda: self.sync_daily(symbols(), today(), today()), self.config.minute_cron: lambda: self.sync_minute(symbols(), today(), today())}
+        if self.schedule is None or not self.schedule.running:
+            self.schedule = Schedule(work, self.config.time_zone)
+            self.schedule.start()
+        return self.schedule
+
     # Queries
 
     def daily_bars(self, symbol: str, start: dt.date, end: dt.date) -> DataFrame:
@@ -74,17 +138,22 @@ class Engine:
     def pattern_ids(self) -> list[str]:
         return sorted(det.REGISTRY)
 
-    def _window(self, as_of: dt.date, history_days: int | None, symbols: Iterable[str] | None) -> DataFrame:
+    def _window(self, as_of: dt.date, history_days: int | None, symbols: Iterable[str] | None, refresh: bool = False) -> DataFrame:
+        """Bars of the history window: the lake's, or with refresh the source's, adjusted as the settings say."""
         start, end = scan.history_window(as_of, history_days)
+        if refresh:
+            if self.source is None or not symbols:
+                raise ValueError("a refresh needs a bar source and symbols")
+            return self._fetch(Request(tuple(symbols), start, end, sc.Period.D1, sc.Adjust.parse(self.config.adjust)))[0]
         df = self.lake.read("daily_bars")
         months = F.concat(F.col("year"), F.col("month"))
         df = between_dates(df.where(months.between(f"{start:%Y%m}", f"{end:%Y%m}")), *self._ends(df, start, end))
-        return df.where(F.col("symbol").isin(*symbols)) if symbols else df
+        return only_symbols(df, tuple(symbols)) if symbols else df
 
-    def signals(self, as_of: dt.date, patterns: Iterable[str] | None = None, symbols: Iterable[str] | None = None, history_days: int | None = None) -> DataFrame:
-        """Signals at each symbol's latest bar up to as_of; the lake's bars of the history window alone are read."""
+    def signals(self, as_of: dt.date, patterns: Iterable[str] | None = None, symbols: Iterable[str] | None = None, history_days: int | None = None, refresh: bool = False) -> DataFrame:
+        """Signals at each symbol's latest bar up to as_of; the bars of the history window alone are read."""
         chosen = [det.lookup(p) for p in patterns] if patterns else None
-        return scan.signals(scan.prepared(self._window(as_of, history_days, symbols)), chosen)
+        return scan.latest_signals(self._window(as_of, history_days, symbols, refresh), chosen)
 
     def check(self, symbol: str, as_of: dt.date, pattern_id: str) -> bool:
         return not self.signals(as_of, [pattern_id], [symbol]).isEmpty()
@@ -92,17 +161,22 @@ class Engine:
     def check_all(self, symbol: str, as_of: dt.date) -> DataFrame:
         return self.signals(as_of, None, [symbol])
 
-    def scan_market(self, as_of: dt.date, patterns: Iterable[str] | None = None, symbols: Iterable[str] | None = None, history_days: int | None = None, wait: bool = False) -> Job:
-        """A job that scans; its result has the counters, each pattern's hits and the report's lines."""
+    def scan_market(self, as_of: dt.date, patterns: Iterable[str] | None = None, symbols: Iterable[str] | None = None, history_days: int | None = None, wait: bool = False,
+                    refresh: bool = False, on_progress: Callable[[dict], None] | None = None) -> Job:
+        """A job that scans; its result has the counters, each pattern's hits and the report's lines.
+
+        While it runs, its progress says how many of Spark's tasks are done, and at the end it has the
+        counters; on_progress gets each change.
+        """
         patterns, symbols = list(patterns or []), list(symbols or [])
         for p in patterns:
             det.lookup(p)
 
         def work() -> dict:
-            bars = self._window(as_of, history_days, symbols)
+            bars = self._window(as_of, history_days, symbols, refresh)
             wanted = self.spark.createDataFrame([(s,) for s in symbols], "symbol string") if symbols else bars.select("symbol").distinct()
             # Counters, groups and report all read the signals, so they are made once.
-            found = scan.signals(scan.prepared(bars), [det.lookup(p) for p in patterns] or None).persist()
+            found = scan.latest_signals(bars, [det.lookup(p) for p in patterns] or None).persist()
             try:
                 counts = scan.counters(wanted, bars, found).first().asDict()
                 lines = report(f"Pattern scan {as_of}", found, scan.failures(wanted, bars))
@@ -112,7 +186,7 @@ class Engine:
             notify(lines, self.send)
             return {"counters": counts, "patterns": groups, "report": lines}
 
-        return self.jobs.submit("scan_market", {"as_of": str(as_of), "patterns": patterns, "symbols": symbols}, work, wait)
+        return self.jobs.submit("scan_market", {"as_of": str(as_of), "patterns": patterns, "symbols": symbols}, work, wait, self.spark, on_progress)
 
     def job(self, job_id: str) -> Job:
         return self.jobs.get(job_id)

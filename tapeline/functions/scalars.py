@@ -158,9 +158,11 @@ def is_valid_bar(o: Column, h: Column, low: Column, c: Column, v: Column) -> Col
     return ok & (v >= 0)
 
 
-def output_id(path: Column) -> Column:
-    """A file name from a relative path: everything but letters, digits, dash and underscore becomes one underscore each."""
-    return F.regexp_replace(path, r"[^A-Za-z0-9_\-]", "_")
+def output_id(path: Column, number: Column) -> Column:
+    """A file name for source number `number` from its path in the input folder, without the file's extension:
+    src-00007-a_b; all but ASCII letters, digits, dash and underscore becomes one underscore each."""
+    bare = F.regexp_replace(path, r"(?<=[^/])\.[^./]*$", "")
+    return F.concat(F.lit("src-"), F.lpad(number.cast("string"), 5, "0"), F.lit("-"), F.regexp_replace(bare, r"[^A-Za-z0-9_\-]", "_"))
 
 
 def flatten_text(text: Column) -> Column:

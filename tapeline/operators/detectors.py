@@ -9,6 +9,7 @@ value is no match.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Protocol
@@ -41,11 +42,12 @@ def run(fn, x: Column | str, first: int, last: int = 0) -> Column:
     return fn(x).over(by_symbol().rowsBetween(-first, -last))
 
 
-class Bars:
+class Bars(threading.local):
     """What detectors read besides the prepared columns: values some rows back and runs of rows.
 
     Each is asked for by name and becomes one column, however many conditions and detectors use
-    it; apply() adds the columns that the expressions built within it asked for.
+    it; apply() adds the columns that the expressions built within it asked for. Each thread has
+    its own, so scans with different detectors may run side by side.
     """
 
     def __init__(self):
@@ -97,11 +99,12 @@ def fit(name: str, m: int) -> tuple[Column, Column]:
     return F.when(ready, num / den), F.when(ready, r2)
 
 
-def prepare(frame: DataFrame) -> DataFrame:
-    """The frame with indicators, plus what detectors read at several bars."""
+def prepare(frame: DataFrame, before: Column | int = 0) -> DataFrame:
+    """The frame with indicators, plus what detectors read at several bars. before: how many bars of
+    each symbol came before those of the frame."""
     price = lambda x: F.col(x).cast("double")
     df = frame.withColumns({c: price(c) for c in ("open", "high", "low", "close", "volume")})
-    df = df.withColumns({"rn": F.row_number().over(by_symbol()), "prev": lag("close", 1), "latest": F.lead("time").over(by_symbol()).isNull()})
+    df = df.withColumns({"rn": F.row_number().over(by_symbol()) + before, "prev": lag("close", 1), "latest": F.lead("time").over(by_symbol()).isNull()})
     df = df.withColumns(
         {
             "chg": F.when(F.col("prev") > 0, (F.col("close") - F.col("prev")) / F.col("prev")),
@@ -508,6 +511,7 @@ class ImmortalGuidance:
                     "signal_date": F.col("time"), "key_date": B.back("time", o), "price": F.col("close"), "volume_ratio": over_tiny(F.col("volume"), F.col("volume_ma_5")),
                     "surge_pct": surge, "upper_shadow_ratio": shadow, "anti_body_price": retake, "support_level": B.back("open", o), "key_day_close": B.back("close", o),
                     "key_day_high": high, "signal_volume_ratio": ratio, "days_to_confirm": F.lit(o), "trend_slope": F.col("slope20"), "trend_r2": F.col("r2_20"),
+                    "ma5": B.back("ma_5", o), "ma10": B.back("ma_10", o), "ma20": B.back("ma_20", o), "close_above_ma5": F.col("close") > F.col("ma_5"),
                 })
             )
         return first_of(options)

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tapeline.operators import detectors as det
+from tapeline.operators.evidence import whole
 from tapeline.operators.frame import dedup
 from tapeline.operators.indicators import DEFAULT_PATTERN_SET, compute
 
 MIN_BARS = 20
 HISTORY_DAYS, LEAST_HISTORY_DAYS = 365, 30
+#: Detectors look back over at most so many bars: 120 from one some ten bars back.
+TAIL = 140
 
 
 def history_window(as_of: dt.date, history_days: int | None = None) -> tuple[dt.date, dt.date]:
@@ -34,6 +37,14 @@ def prepared(bars: DataFrame) -> DataFrame:
     return det.prepare(compute(long_enough, DEFAULT_PATTERN_SET))
 
 
+def latest_signals(bars: DataFrame, chosen: Iterable[det.Detector] | None = None, tail: int = TAIL) -> DataFrame:
+    """signals() at each symbol's latest bar alone. Indicators run over all bars; what detectors read
+    behind them is made for the last `tail` bars, which is as far as any looks back."""
+    whole = compute(bars.withColumn("_n", F.count("*").over(Window.partitionBy("symbol"))).where(F.col("_n") >= MIN_BARS), DEFAULT_PATTERN_SET)
+    last = whole.withColumn("_rn", F.row_number().over(det.by_symbol())).where(F.col("_n") - F.col("_rn") < tail).drop("_rn")
+    return signals(det.prepare(last, F.greatest(F.col("_n") - tail, F.lit(0))), chosen)
+
+
 def evidence_frame(ready: DataFrame, detector: det.Detector) -> DataFrame:
     """History of one detector: symbol, exchange, time and the evidence as columns, where it fires."""
     ready, (found,) = det.B.apply(ready, [detector])
@@ -56,7 +67,7 @@ def signals(ready: DataFrame, chosen: Iterable[det.Detector] | None = None, late
             F.col(d.id).isNotNull(),
             F.struct(
                 F.lit(d.id).alias("pattern_id"), F.col(d.id)["signal_date"].cast("date").alias("signal_date"), F.lit(d.score).alias("score"),
-                F.array(*map(F.lit, d.tags)).alias("tags"), F.lit(d.explanation).alias("explanation"), F.to_json(d.id).alias("evidence"),
+                F.array(*map(F.lit, d.tags)).alias("tags"), F.lit(d.explanation).alias("explanation"), F.to_json(whole(d.id, F.col(d.id), found.schema[d.id].dataType.names)).alias("evidence"),
             ),
         )
         for d in chosen

@@ -286,6 +286,7 @@ def immortal_guidance(d: det.ImmortalGuidance) -> str:
             "signal_date": "time", "key_date": back("time", o), "price": r("close"), "volume_ratio": r(tiny("volume", "volume_ma_5")), "surge_pct": r(surge), "upper_shadow_ratio": r(shadow),
             "anti_body_price": r(retake), "support_level": r(back("open", o)), "key_day_close": r(back("close", o)), "key_day_high": r(high), "signal_volume_ratio": r(ratio),
             "days_to_confirm": str(o), "trend_slope": r("slope20"), "trend_r2": r("r2_20"),
+            "ma5": r(back("ma_5", o)), "ma10": r(back("ma_10", o)), "ma20": r(back("ma_20", o)), "close_above_ma5": "close > ma_5",
         }))
     return statement(first_of(options))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import threading
 import time
 import traceback
@@ -10,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TTL_HOURS, MOST_JOBS = 24, 200
@@ -37,6 +38,7 @@ class Job:
     error: str | None = None
     created: float = field(default_factory=time.time)
     finished: float | None = None
+    progress: dict[str, Any] = field(default_factory=dict)
 
 
 class Jobs:
@@ -55,18 +57,46 @@ class Jobs:
                 if now - j.finished > self.ttl or len(self.jobs) > self.most:
                     del self.jobs[j.id]
 
-    def submit(self, kind: str, request: dict[str, Any], work: Callable[[], Any], wait: bool = False) -> Job:
+    def submit(self, kind: str, request: dict[str, Any], work: Callable[[], Any], wait: bool = False, spark: SparkSession | None = None, on_progress: Callable[[dict], None] | None = None) -> Job:
+        """Run work, in a thread unless wait. With a session the job's progress counts Spark's tasks while it runs;
+        counters in the result become its last progress. on_progress gets each change, and its errors end nothing."""
         self.clean()
         job = Job(kind, request)
         with self.lock:
             self.jobs[job.id] = job
 
+        def tell(progress: dict) -> None:
+            if progress != job.progress:
+                job.progress = progress
+                if on_progress:
+                    with contextlib.suppress(Exception):
+                        on_progress(progress)
+
+        def watch(ended: threading.Event) -> None:
+            tracker = spark.sparkContext.statusTracker()
+            while not ended.wait(0.5):
+                stages = [s for j in tracker.getJobIdsForGroup(job.id) if (i := tracker.getJobInfo(j)) for k in i.stageIds if (s := tracker.getStageInfo(k))]
+                tell({"tasks": sum(s.numTasks for s in stages), "tasks_done": sum(s.numCompletedTasks for s in stages)})
+
         def run() -> None:
-            job.status = "running"
+            job.status, ended, watcher = "running", threading.Event(), None
+            if spark is not None:
+                spark.sparkContext.setJobGroup(job.id, job.kind)
+                watcher = threading.Thread(target=watch, args=(ended,), daemon=True)
+                watcher.start()
             try:
-                job.result, job.status = work(), "succeeded"
+                job.result = work()
+                failure = None
             except Exception as e:
-                job.error, job.status = f"{e}".strip() or traceback.format_exc(limit=1), "failed"
+                failure = f"{e}".strip() or traceback.format_exc(limit=1)
+            ended.set()
+            if watcher is not None:
+                watcher.join()
+                for name in ("spark.jobGroup.id", "spark.job.description"):
+                    spark.sparkContext.setLocalProperty(name, None)
+            if failure is None and isinstance(job.result, dict) and "counters" in job.result:
+                tell(job.result["counters"])
+            job.error, job.status = failure, "failed" if failure else "succeeded"
             job.finished = time.time()
 
         if wait:

@@ -443,7 +443,7 @@ _LATEST_SQL = " union all ".join(f"select symbol, '{k}' as pattern_id from ({v})
 
 @query(f"select * from ({_LATEST_SQL})")
 def scan_market_as_of(spark, sf_dir):
-    return scan.signals(scan.prepared(_as_of(spark, sf_dir))).select("symbol", "pattern_id")
+    return scan.latest_signals(_as_of(spark, sf_dir)).select("symbol", "pattern_id")
 
 
 @query(f"""
@@ -453,7 +453,7 @@ def scan_market_as_of(spark, sf_dir):
            cast(sum(hits) as bigint) as signals, count(*) filter (n = 0) as failed from per""")
 def scan_counters(spark, sf_dir):
     bars = _as_of(spark, sf_dir)
-    return scan.counters(_wanted(spark, sf_dir), bars, scan.signals(scan.prepared(bars)))
+    return scan.counters(_wanted(spark, sf_dir), bars, scan.latest_signals(bars))
 
 
 _HITS_SQL = "select symbol, time, pattern_id from (select symbol, time, case when ma_cross then 'ma' end as a, case when kdj_cross then 'kdj' end as b, case when macd_cross then 'macd' end as c from p) unpivot (pattern_id for k in (a, b, c))"
@@ -516,3 +516,6 @@ def ma_cross_signals(spark, sf_dir):
 
 
 entry = partial(scan_market_all)
+
+
+from tapeline.plans import store_queries  # noqa: E402, F401  adds its queries to the registry above

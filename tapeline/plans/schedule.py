@@ -1,0 +1,95 @@
+"""Work at times of the day: cron texts of six fields, one thread, one piece of work at a time."""
+
+from __future__ import annotations
+
+import datetime as dt
+import threading
+from collections.abc import Callable
+from zoneinfo import ZoneInfo
+
+#: Bounds of second, minute, hour, day of the month, month and day of the week (0 and 7 are Sunday).
+BOUNDS = [(0, 59), (0, 59), (0, 23), (1, 31), (1, 12), (0, 7)]
+
+
+def cron_fields(text: str) -> list[set[int]]:
+    """The allowed values of each field: *, numbers, ranges, steps and lists of them."""
+    fields = text.split()
+    if len(fields) != len(BOUNDS):
+        raise ValueError(f"{text!r} has not six fields")
+    out = []
+    for field, (low, high) in zip(fields, BOUNDS, strict=True):
+        allowed: set[int] = set()
+        for part in field.split(","):
+            span, _, step = part.partition("/")
+            first, _, last = span.partition("-")
+            a, b = (low, high) if span in ("*", "?") else (int(first), int(last) if last else high if step else int(first))
+            if not low <= a <= b <= high or step and int(step) < 1:
+                raise ValueError(f"{part!r} in {text!r} is out of range")
+            allowed |= set(range(a, b + 1, int(step or 1)))
+        out.append(allowed)
+    out[5] = {d % 7 for d in out[5]}
+    return out
+
+
+def next_time(text: str, after: dt.datetime) -> dt.datetime:
+    """The first time behind `after`, in its zone, that the cron text names."""
+    seconds, minutes, hours, days, months, weekdays = cron_fields(text)
+    day = after.date()
+    for _ in range(366 * 8 + 2):
+        if day.day in days and day.month in months and (day.weekday() + 1) % 7 in weekdays:
+            for h in sorted(hours):
+                for m in sorted(minutes):
+                    for s in sorted(seconds):
+                        t = dt.datetime.combine(day, dt.time(h, m, s), after.tzinfo)
+                        if t > after:
+                            return t
+        day += dt.timedelta(days=1)
+    raise ValueError(f"{text!r} names no day")
+
+
+class Schedule:
+    """Runs work at its times until stopped. Work that is late runs once, not once for each time missed."""
+
+    def __init__(self, work: dict[str, Callable[[], object]], zone: str):
+        self.work, self.zone = work, ZoneInfo(zone)
+        for text in work:
+            cron_fields(text)
+        self.errors: list[tuple[dt.datetime, str]] = []
+        self.done = 0
+        self.ended = threading.Event()
+        self.thread: threading.Thread | None = None
+
+    @property
+    def running(self) -> bool:
+        return self.thread is not None and self.thread.is_alive()
+
+    def run_due(self, since: dt.datetime, now: dt.datetime) -> None:
+        """The work whose time lies behind since, up to now, in the order of the times."""
+        due = sorted((t, text) for text in self.work if (t := next_time(text, since)) <= now)
+        for _, text in due:
+            try:
+                self.work[text]()
+                self.done += 1
+            except Exception as e:
+                self.errors = [*self.errors[-99:], (now, f"{type(e).__name__}: {e}")]
+
+    def start(self) -> None:
+        self.ended.clear()
+
+        def loop() -> None:
+            since = dt.datetime.now(self.zone)
+            while True:
+                pause = min(next_time(text, since) for text in self.work) - dt.datetime.now(self.zone)
+                if self.ended.wait(max(0.0, min(60.0, pause.total_seconds()))):
+                    return
+                now = dt.datetime.now(self.zone)
+                self.run_due(since, now)
+                since = now
+
+        self.thread = threading.Thread(target=loop, daemon=True)
+        self.thread.start()
+
+    def stop(self) -> None:
+        self.ended.set()
+        if self.thread is not None:
+            self.thread.join(5)

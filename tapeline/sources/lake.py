@@ -8,15 +8,21 @@ replaces those partitions alone, so a repeated or partial sync loses nothing.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeline.operators import frame as fr
-from tapeline.sources.readers import Manifest, exists, files, read_csv, read_zip
+from tapeline.sources.readers import ORDER, Manifest, exists, files, read_csv, read_zip
 
 PART_ROWS = 200_000
+#: So many touched partitions are sent to all tasks at most.
+MOST_LISTED = 50_000
+#: Rows of a Parquet row group.
+GROUP_ROWS = 131_072
 PARTITIONS = {"daily_bars": ["exchange", "year", "month"], "index_daily_bars": ["exchange", "year", "month"], "minute_bars_1m": ["trade_date", "exchange"]}
 #: How rows lie in a file, for skipping by minima and maxima.
 SORT = {"daily_bars": ["time", "symbol"], "index_daily_bars": ["time", "symbol"], "minute_bars_1m": ["symbol", "time"]}
@@ -25,35 +31,64 @@ ALIASES = {"turnover": "amount", "turn_over": "amount", "adj_factor": "factor",
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, part_rows: int = PART_ROWS):
+        self.spark, self.root, self.part_rows = spark, root.rstrip("/"), part_rows
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def ensure(self) -> None:
+        """Make the lake's folder (or bucket prefix) if it is missing."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+    def schema(self, table: str) -> T.StructType | None:
+        """The declared schema, so that a read opens no footers; null before the first write."""
+        path = f"{self.root}/_schema/{table}"
+        return T.StructType.fromJson(json.loads(self.spark.read.text(path, wholetext=True).first()[0])) if exists(self.spark, path) else None
+
+    def declare(self, table: str, schema: T.StructType) -> T.StructType:
+        """Add what is new in schema to the declared one; partition values are texts."""
+        old = self.schema(table) or T.StructType()
+        own = [*old, *(f for f in schema if f.name not in old.names)]
+        by = PARTITIONS[table]
+        new = T.StructType([T.StructField(f.name, T.StringType() if f.name in by else f.dataType) for f in own])
+        if new != old:
+            self.spark.createDataFrame([(new.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.root}/_schema/{table}")
+        return new
+
     def read(self, table: str) -> DataFrame:
         """The table with partition values as texts (month 03 stays 03)."""
-        self.spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path(table))
+        schema = self.schema(table)
+        if schema is None:  # written by something else: look at all files once
+            schema = self.declare(table, self.spark.read.option("mergeSchema", "true").parquet(self.path(table)).schema)
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     def write(self, table: str, rows: DataFrame, merge: bool = True) -> dict[str, int]:
-        """Merge rows into the table; returns rows and partitions written."""
+        """Merge rows into the table; returns rows and partitions written.
+
+        Of rows with one key the last by where they come from (ORDER) stays. Rows without that have no
+        order; of them the last by their own values stays, so a repeated write gives the same.
+        """
         by = PARTITIONS[table]
-        if "source_row" not in rows.columns:  # the order in which rows came, for keeping the last
-            rows = rows.withColumn("source_row", F.monotonically_increasing_id())
-        rows = rows.select(*[F.col(c).alias(ALIASES.get(c, c)) for c in rows.columns if c not in ("source_file", "source_row", "unused", *by[1:])], *[F.col(c) for c in ("source_file", "source_row") if c in rows.columns])
+        self.ensure()
+        rows = rows.select(*[F.col(c).alias(ALIASES.get(c, c)) for c in rows.columns if c not in (*ORDER, "unused", *by[1:])], *[F.col(c) for c in ORDER if c in rows.columns])
         rows = fr.day_keys(rows) if table == "minute_bars_1m" else fr.month_keys(rows)
         rows = fr.drop_null_keys(rows, ("symbol", "time", *by)) if "exchange" in rows.columns else rows.withColumn("exchange", F.get(F.split("symbol", "\\."), F.lit(1)))
-        order: list[Column] = [F.col(c) for c in ("source_file", "source_row") if c in rows.columns]
-        rows = fr.dedup(rows, order).drop("source_file", "source_row").withColumn("_new", F.lit(1))
+        order: list[Column] = [F.col(c) for c in ORDER if c in rows.columns] or [F.col(c) for c in rows.columns if c not in ("symbol", "time")]
+        rows = fr.dedup(rows, order).drop(*ORDER).withColumn("_new", F.lit(1))
+        rows = rows.withColumns({c: F.col(c).cast("string") for c in by})
         # New rows are read twice (their partitions, then themselves): once written, once for all.
         staged = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
         rows.write.parquet(f"{staged}/new")
         rows = self.spark.read.parquet(f"{staged}/new")
-        touched = rows.select(*by).distinct()
+        touched = self.spark.createDataFrame(rows.select(*by).distinct().limit(MOST_LISTED + 1).collect(), rows.select(*by).schema)
+        n = touched.count()
+        # So many names of partitions are a few megabytes at most; more are joined by a shuffle.
+        touched = F.broadcast(touched) if n <= MOST_LISTED else rows.select(*by).distinct()
         if merge and exists(self.spark, self.path(table)):
             # Partition values name folders, so only the touched partitions are read.
-            old = self.read(table).join(F.broadcast(touched), by, "left_semi").withColumn("_new", F.lit(0))
+            old = self.read(table).join(touched, by, "left_semi").withColumn("_new", F.lit(0))
             rows = fr.dedup(rows.unionByName(old, allowMissingColumns=True), [F.col("_new")])
         rows = rows.drop("_new")
         out = rows.repartition(*by).sortWithinPartitions(*by, *SORT[table])
@@ -61,16 +96,18 @@ class Lake:
         out.write.parquet(f"{staged}/merged")
         merged = self.spark.read.schema(out.schema).parquet(f"{staged}/merged")
         count = merged.count()
-        n = touched.count()
-        writer = merged.repartition(*by).sortWithinPartitions(*by, *SORT[table]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.option("maxRecordsPerFile", PART_ROWS if table == "minute_bars_1m" else 0).option("compression", "snappy").partitionBy(*by).parquet(self.path(table))
+        self.declare(table, merged.schema)
+        # The staged files are dealt out and sorted already: no second shuffle, only what a task holds is put in order.
+        writer = merged.sortWithinPartitions(*by, *SORT[table]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = writer.option("maxRecordsPerFile", self.part_rows if table == "minute_bars_1m" else 0).option("parquet.block.row.count.limit", GROUP_ROWS)
+        writer.option("compression", "snappy").partitionBy(*by).parquet(self.path(table))
         self._validate(table, touched, count)
         self._delete(staged)
-        return {"rows": count, "partitions": n}
+        return {"rows": count, "partitions": n if n <= MOST_LISTED else touched.count()}
 
     def _validate(self, table: str, touched: DataFrame, rows: int) -> None:
         """What was written can be read, and is all there."""
-        got = self.read(table).join(F.broadcast(touched.select(*[F.col(c).cast("string").alias(c) for c in touched.columns])), PARTITIONS[table], "left_semi").count()
+        got = self.read(table).join(touched, PARTITIONS[table], "left_semi").count()
         if got != rows:
             raise OSError(f"{table}: {got} rows in the written partitions instead of {rows}")
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import sys
 import zipfile
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Protocol
 
 import pandas as pd
@@ -20,6 +23,8 @@ from tapeline.operators import frame as fr
 DAILY_CSV = ["symbol", "time", "open", "high", "low", "close", "volume", "turnover", "factor", "prev_close", "avg_price", "high_limit", "low_limit", "turnover_rate", "amp_rate", "quote_rate", "is_paused", "is_st"]
 INDEX_CSV = ["symbol", "time", "open", "high", "low", "close", "volume", "turnover", "unused", "prev_close"]
 MINUTE_CSV = ["symbol", "time", "open", "high", "low", "close", "factor", "volume", "turnover", "turnover_rate", "is_paused"]
+#: Where an imported row comes from, in the order in which rows came.
+ORDER = ["source_file", "source_part", "source_row"]
 LAYOUTS = {"daily": (DAILY_CSV, 10), "index-daily": (INDEX_CSV, 10), "minute": (MINUTE_CSV, 19)}
 
 
@@ -48,14 +53,28 @@ class BarSource(Protocol):
     def fetch(self, spark: SparkSession, request: Request) -> DataFrame: ...
 
 
+#: Up to so many symbols are compared in the scan; more are a table to join with.
+LISTED = 1000
+
+
+def only_symbols(df: DataFrame, symbols: tuple[str, ...]) -> DataFrame:
+    if len(symbols) <= LISTED:
+        return df.where(F.col("symbol").isin(*symbols))
+    wanted = df.sparkSession.createDataFrame([(s,) for s in dict.fromkeys(symbols)], "symbol string")
+    return df.join(wanted, "symbol", "left_semi")
+
+
 @dataclass(frozen=True)
 class ParquetSource:
-    """Bars in a Parquet table; the range and the symbols reach its scan."""
+    """Bars in a Parquet table, and tables of adjusted bars by adjustment; the range and the symbols reach the scan."""
 
     path: str
+    adjusted: dict[sc.Adjust, str] = field(default_factory=dict)
 
     def fetch(self, spark: SparkSession, request: Request) -> DataFrame:
-        df = spark.read.parquet(self.path)
+        if self.adjusted and request.adjust not in {sc.Adjust.NONE, *self.adjusted}:
+            raise ValueError(f"no bars with adjustment {request.adjust.value}")
+        df = spark.read.parquet(self.adjusted.get(request.adjust, self.path))
         kind = dict(df.dtypes)["time"]
         end: object = request.end
         if kind.startswith("timestamp"):
@@ -63,7 +82,7 @@ class ParquetSource:
         elif kind == "string":
             end = f"{request.end} 23:59:59"
         start = str(request.start) if kind == "string" else request.start
-        return fr.between_dates(df, start, end).where(F.col("symbol").isin(*request.symbols))
+        return only_symbols(fr.between_dates(df, start, end), request.symbols)
 
 
 @dataclass(frozen=True)
@@ -89,6 +108,88 @@ class FallbackSource:
         return fr.with_fallback(first.select(*columns), second.select(*columns), self.enabled)
 
 
+@dataclass
+class ChunkedSource:
+    """Another source's bars, asked for `size` symbols at a time by `concurrency` threads.
+
+    For sources that answer requests of bounded size. A chunk that fails is asked for in halves,
+    down to a symbol; a symbol that fails alone is noted in failures and left out.
+    """
+
+    source: BarSource
+    size: int = 200
+    concurrency: int = 8
+    failures: list[tuple[str, str]] = field(default_factory=list)
+
+    def fetch(self, spark: SparkSession, request: Request) -> DataFrame:
+        def ask(symbols: tuple[str, ...]) -> list[DataFrame]:
+            try:
+                return [self.source.fetch(spark, replace(request, symbols=symbols))]
+            except Exception as e:
+                if len(symbols) == 1:
+                    self.failures.append((symbols[0], f"{type(e).__name__}: {e}"))
+                    return []
+                half = len(symbols) // 2
+                return ask(symbols[:half]) + ask(symbols[half:])
+
+        self.failures.clear()
+        chunks = [request.symbols[k : k + self.size] for k in range(0, len(request.symbols), max(1, self.size))]
+        with ThreadPoolExecutor(max(1, self.concurrency)) as pool:
+            frames = [f for found in pool.map(ask, chunks) for f in found]
+        self.failures.sort()
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else fr.empty_frame(spark)
+
+
+@dataclass(frozen=True)
+class PagedSource:
+    """Bars of a source that gives the latest bars first, a page at a time.
+
+    page(symbol, offset, count) gives up to count bars, oldest first, that end `offset` bars before
+    the latest; a bar is a dict with time (a datetime or date) and numbers. A symbol is paged back
+    in one task until a page reaches the start or is short; bars are sorted, and of one time the
+    first stays. A symbol that fails has no bars, so a fallback or a list of missing symbols finds it.
+    """
+
+    page: Callable[[str, int, int], list[dict]]
+    count: int = 800
+    tasks: int = 8
+
+    def bars_of(self, symbol: str, start: dt.date) -> list[dict]:
+        day = lambda b: b["time"].date() if isinstance(b["time"], dt.datetime) else b["time"]
+        found, offset = [], 0
+        while got := self.page(symbol, offset, self.count):
+            found += got
+            offset += len(got)
+            if len(got) < self.count or day(got[0]) <= start:
+                break
+        by_time: dict = {}
+        for b in found:
+            by_time.setdefault(b["time"], b)
+        return [by_time[t] for t in sorted(by_time)]
+
+    def fetch(self, spark: SparkSession, request: Request) -> DataFrame:
+        daily, numbers = request.period.daily, [f.name for f in fr.KLINE if f.dataType.simpleString() == "double"]
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for symbol in batch["symbol"]:
+                    try:
+                        bars = self.bars_of(symbol, request.start)
+                    except Exception as e:
+                        print(f"{symbol}: {type(e).__name__}: {e}", file=sys.stderr)
+                        continue
+                    rows = []
+                    for b in bars:
+                        t = b["time"] if isinstance(b["time"], dt.datetime) else dt.datetime.combine(b["time"], dt.time())
+                        if request.start <= t.date() <= request.end:
+                            text = f"{t:%Y-%m-%d}" if daily else f"{t:%Y-%m-%d %H:%M}:00"
+                            rows.append([symbol, symbol.partition(".")[2] or None, request.period.value, text, t.date(), *(b.get(n) for n in numbers), "paged"])
+                    yield pd.DataFrame(rows, columns=fr.KLINE.names).astype(dict.fromkeys(numbers, "float64"))
+
+        asked = spark.createDataFrame([(s,) for s in request.symbols], "symbol string").repartition(self.tasks, "symbol")
+        return fr.fill_frame(asked.mapInPandas(run, fr.KLINE))
+
+
 def bars_from_response(items: DataFrame, period: sc.Period) -> DataFrame:
     """K-line rows of a nested response (symbol, bars: array of structs with time_ms and numbers)."""
     rows = items.select("symbol", F.explode("bars").alias("b"))
@@ -137,7 +238,7 @@ def csv_rows(raw: DataFrame, kind: str) -> DataFrame:
     """Typed rows of raw texts (columns by place, plus source): bad numbers are null, rows without a symbol or time go."""
     columns, width = LAYOUTS[kind]
     fit, made = _acceptable(columns, width)
-    extra = [c for c in ("source_file", "source_row") if c in raw.columns]
+    extra = [c for c in ORDER if c in raw.columns]
     return raw.where(fit).select(*made, *extra)
 
 
@@ -145,7 +246,8 @@ def read_csv(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame
     """A header line, then columns by place; a row with too many or too few fields fails the read."""
     schema = ", ".join(f"`{c}` string" for c in LAYOUTS[kind][0])
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]").csv(path, header=True, schema=schema, mode="FAILFAST", enforceSchema=True)
-    raw = raw.withColumns({"source_file": F.input_file_name(), "source_row": F.monotonically_increasing_id()})
+    # A file may be read in several parts, in any order: the part's place in it, then the row's in the part.
+    raw = raw.withColumns({"source_file": F.col("_metadata.file_path"), "source_part": F.col("_metadata.file_block_start"), "source_row": F.monotonically_increasing_id()})
     return csv_rows(raw, kind)
 
 
@@ -162,10 +264,10 @@ def read_zip(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame
                         at = 0
                         with archive.open(entry) as f:
                             for part in pd.read_csv(f, header=None, skiprows=1, names=columns, dtype=str, keep_default_na=False, chunksize=100_000, index_col=False):
-                                yield part.assign(source_file=f"{where}/{entry}", source_row=range(at, at + len(part)))
+                                yield part.assign(source_file=f"{where}/{entry}", source_part=0, source_row=range(at, at + len(part)))
                                 at += len(part)
 
-    schema = ", ".join(f"`{c}` string" for c in columns) + ", source_file string, source_row long"
+    schema = ", ".join(f"`{c}` string" for c in columns) + ", source_file string, source_part long, source_row long"
     archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
     return csv_rows(archives.select("path", "content").mapInPandas(run, schema), kind)
 

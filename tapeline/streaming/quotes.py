@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import re
+import time
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tapeline.functions.scalars import exchange_of, is_symbol_key, split_symbol
+from tapeline.functions.scalars import exchange_of, split_symbol
 
 # The fields of a tick and the names they come under.
 TIME_NAMES = ["time", "timestamp", "datetime"]
@@ -17,15 +22,8 @@ NUMBERS = {
     "pvolume": ["pvolume"], "open_interest": ["openInt", "openInterest"], "last_settlement_price": ["lastSettlementPrice"],
 }
 BOOK = {f"{a}_{b}_{k}": [f"{a}{b.capitalize()}{k}"] for b in ("price", "vol") for a in ("ask", "bid") for k in range(1, 6)}
+SYMBOL = re.compile(r"[A-Za-z0-9_]+\.[A-Za-z0-9_]+")
 WRAPPERS, TICK_WRAPPERS = ["data", "result", "items"], ["tick", "ticks", "data", "items", "result"]
-#: How deep payloads are unwrapped.
-DEPTH = 3
-
-
-def _listed(raw: Column) -> Column:
-    """The elements of a JSON array, or the text itself as the only one; texts of JSON."""
-    return F.when(F.ltrim(raw).startswith("["), F.from_json(raw, "array<string>")).otherwise(F.array(raw))
-
 
 def _entries(raw: Column) -> Column:
     """The members of a JSON object as structs of key and value; none for anything else."""
@@ -38,27 +36,67 @@ def _number(entries: Column, names: list[str]) -> Column:
 
 
 def _pick(entries: Column, names: list[str]) -> Column:
-    """The first of the names that is a member."""
-    named = lambda n: F.get(F.filter(entries, lambda e: e["key"] == n), F.lit(0))["value"]
-    return F.coalesce(*[named(n) for n in names])
+    """The value of the first of the names that is a member, whatever its value."""
+
+    def named(name: str) -> Column:
+        return F.filter(entries, lambda e: e["key"] == name)
+
+    found = F.lit(None).cast("string")
+    for n in reversed(names):
+        found = F.when(F.size(named(n)) > 0, F.get(named(n), F.lit(0))["value"]).otherwise(found)
+    return found
+
+
+def _time(tick: dict):
+    return next((tick[n] for n in TIME_NAMES if n in tick), None)
+
+
+def _ticks(payload) -> list[dict]:
+    """The ticks in what a symbol's member holds: a tick, a list of ticks, or a wrapper of one at any
+    depth. Of an object's wrappers the first that holds a tick counts, then the object itself."""
+    if isinstance(payload, list):
+        return [x for x in payload if isinstance(x, dict) and _time(x) is not None]
+    if not isinstance(payload, dict):
+        return []
+    for name in TICK_WRAPPERS:
+        if name in payload and (inner := _ticks(payload[name])):
+            return inner
+    return [payload] if _time(payload) is not None else []
+
+
+def ticks_of(text: str | None) -> list[tuple[str, str]]:
+    """(symbol, tick as JSON) of a payload; none of what is no JSON, or nested deeper than it can be read."""
+    try:
+        todo, found = [json.loads(text)] if text else [], []
+        while todo:
+            x = todo.pop()
+            if isinstance(x, list):
+                todo += reversed(x)
+            elif isinstance(x, dict):
+                todo += [x[n] for n in WRAPPERS if n in x]
+                found += [(k, json.dumps(t)) for k, v in x.items() if k not in WRAPPERS and SYMBOL.fullmatch(k) for t in _ticks(v)]
+    except (ValueError, RecursionError):
+        return []
+    return found
 
 
 def normalize_ticks(payloads: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Rows of ticks from JSON payloads (column payload): members named like symbols, at any of DEPTH levels of
-    wrappers, hold a tick, a list of ticks or a wrapper of one. A tick without a time is none."""
+    """Rows of ticks from JSON payloads (column payload): members named like symbols, at any depth of
+    wrappers, hold a tick, a list of ticks or a wrapper of one. A tick without a time is none.
+
+    Unwrapping to any depth is no relational step, so it is done by Arrow batches; the fields are read by Spark.
+    """
     keep = keep or []
-    level = payloads.select(*keep, F.explode(_listed(F.col("payload"))).alias("raw"))
-    found: DataFrame | None = None
-    for _ in range(DEPTH):
-        members = level.select(*keep, F.explode(_entries(F.col("raw"))).alias("m")).select(*keep, F.col("m.key").alias("key"), F.col("m.value").alias("value"))
-        own = members.where(is_symbol_key(F.col("key"))).select(*keep, F.col("key").alias("symbol"), F.col("value").alias("raw"))
-        found = own if found is None else found.unionByName(own)
-        level = members.where(F.col("key").isin(WRAPPERS)).select(*keep, F.explode(_listed(F.col("value"))).alias("raw"))
-    ticks = found
-    for _ in range(DEPTH):
-        listed = ticks.select(*keep, "symbol", F.explode(_listed(F.col("raw"))).alias("raw"))
-        inner = _pick(_entries(F.col("raw")), TICK_WRAPPERS)
-        ticks = listed.select(*keep, "symbol", F.coalesce(inner, F.col("raw")).alias("raw"))
+    shape = T.StructType([payloads.schema[c] for c in keep] + [T.StructField("symbol", T.StringType()), T.StructField("raw", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(k, symbol, raw) for k, text in enumerate(batch.column(len(keep))) for symbol, raw in ticks_of(text.as_py())]
+            at = pa.array([r[0] for r in rows], pa.int32())
+            own = [batch.column(k).take(at) for k in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], [*keep, "symbol", "raw"])
+
+    ticks = payloads.select(*keep, F.col("payload").cast("string").alias("payload")).mapInArrow(run, shape)
     e = F.col("e")
     fields = [_number(e, names).alias(c) for c, names in (NUMBERS | BOOK).items()]
     rows = ticks.select(*keep, "symbol", _entries(F.col("raw")).alias("e"))
@@ -77,10 +115,15 @@ def publish_rows(snapshots: DataFrame, keep: list[str] | None = None) -> DataFra
 
 
 class QuoteLoop:
-    """One running query that publishes each micro-batch of snapshots; start, stop and status."""
+    """One running query that publishes each micro-batch of snapshots; start, stop and status.
+
+    A batch whose bus is not connected calls reconnect and is published again, up to `attempts`
+    times; then the query fails, and a start from the same checkpoint takes the batch up again.
+    """
 
-    def __init__(self, spark: SparkSession, publish: Callable[[DataFrame], None], name: str = "whole_quote", workers: int = 10):
+    def __init__(self, spark: SparkSession, publish: Callable[[DataFrame], None], name: str = "whole_quote", workers: int = 10, reconnect: Callable[[], None] | None = None, attempts: int = 3, pause: float = 1.0):
         self.spark, self.publish, self.name, self.workers = spark, publish, name, workers
+        self.reconnect, self.attempts, self.pause, self.reconnects = reconnect, attempts, pause, 0
         self.query: StreamingQuery | None = None
         self.failure: str | None = None
 
@@ -94,10 +137,18 @@ class QuoteLoop:
         and stops, for schedulers."""
         if self.running:
             return self.status()
-        publish, workers = self.publish, self.workers
 
         def batch(df: DataFrame, _: int) -> None:
-            publish(publish_rows(df.repartition(workers)))
+            rows = publish_rows(df.repartition(self.workers))
+            for attempt in range(1, self.attempts + 1):
+                try:
+                    return self.publish(rows)
+                except ConnectionError:
+                    if self.reconnect is None or attempt == self.attempts:
+                        raise
+                    time.sleep(self.pause)
+                    self.reconnect()
+                    self.reconnects += 1
 
         writer = snapshots.writeStream.queryName(self.name).option("checkpointLocation", checkpoint).foreachBatch(batch)
         writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
@@ -113,4 +164,4 @@ class QuoteLoop:
         q = self.query
         error = None if q is None or q.exception() is None else str(q.exception())
         last = None if q is None or q.lastProgress is None else {"batch": q.lastProgress["batchId"], "rows": q.lastProgress["numInputRows"]}
-        return {"running": self.running, "last": last, "error": error}
+        return {"running": self.running, "last": last, "error": error, "reconnects": self.reconnects}

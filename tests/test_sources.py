@@ -1,16 +1,22 @@
 import datetime as dt
+import threading
 import zipfile
+from dataclasses import dataclass
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tapeline.engine import Engine
-from tapeline.config import Config
+from tapeline.config import Config, Sync
 from tapeline.functions import scalars as sc
+from tapeline.operators import detectors as det
+from tapeline.operators import evidence
 from tapeline.operators import frame as fr
 from tapeline.operators import scan
 from tapeline.operators.report import notify, report
 from tapeline.plans.jobs import Jobs, NotFound
+from tapeline.plans.schedule import Schedule, next_time
 from tapeline.sources import readers
 from tapeline.sources.bars import daily_bars
 from tapeline.sources.lake import Lake
@@ -152,7 +158,191 @@ def test_jobs():
 def test_scalars(spark):
     df = spark.createDataFrame([("20260520", "2026-05-20 09:30", "SZ.000001", 3725), ("2026-13-01", "x", "abc", 65)], "d string, t string, s string, n int")
     got = df.select(
-        sc.dashed_date(F.col("d")), sc.compact_datetime(F.col("t")), sc.split_symbol(F.col("s")), sc.format_seconds(F.col("n")), sc.output_id(F.col("t")), sc.date_from_text(F.col("d")), sc.flatten_text(F.lit(" a \n b "))
+        sc.dashed_date(F.col("d")), sc.compact_datetime(F.col("t")), sc.split_symbol(F.col("s")), sc.format_seconds(F.col("n")), sc.output_id(F.col("t"), F.col("n")), sc.date_from_text(F.col("d")), sc.flatten_text(F.lit(" a \n b "))
     ).collect()
-    assert tuple(got[0]) == ("2026-05-20", "20260520093000", ("000001", "SZ"), "01:02:05", "2026-05-20_09_30", "2026-05-20", "a b")
-    assert tuple(got[1]) == (None, None, None, "01:05", "x", "2026-13-01", "a b")
+    assert tuple(got[0]) == ("2026-05-20", "20260520093000", ("000001", "SZ"), "01:02:05", "src-03725-2026-05-20_09_30", "2026-05-20", "a b")
+    assert tuple(got[1]) == (None, None, None, "01:05", "src-00065-x", "2026-13-01", "a b")
+
+
+def test_output_names(spark):
+    paths = ["a/b c.tar.gz", "x.csv", "dir.d/.hidden", "plain", "é/ü.zip"]
+    df = spark.createDataFrame([(p, k) for k, p in enumerate(paths)], "p string, k int")
+    assert [r[0] for r in df.select(sc.output_id(F.col("p"), F.col("k"))).collect()] == ["src-00000-a_b_c_tar", "src-00001-x", "src-00002-dir_d__hidden", "src-00003-plain", "src-00004-___"]
+
+
+def test_lake_keeps_a_declared_schema(spark, tmp_path):
+    """Columns of later syncs are declared, old rows have nulls there, fallback bars stay marked."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.write("daily_bars", bar(spark, [("000001.SZ", "2026-05-20", 10.0)]))
+    first, second = bar(spark, [("000002.SZ", "2026-05-20", 1.0)]), bar(spark, [("000002.SZ", "2026-05-20", 9.0), ("600000.SH", "2026-05-20", 2.0)])
+    lake.write("daily_bars", fr.with_fallback(first, second))
+    df = lake.read("daily_bars")
+    assert sorted((r.symbol, r.close, r.adjusted, r.month) for r in df.collect()) == [("000001.SZ", 10.0, None, "05"), ("000002.SZ", 1.0, True, "05"), ("600000.SH", 2.0, False, "05")]
+    assert sorted(df.schema, key=str) == sorted(lake.schema("daily_bars"), key=str) and spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "true"
+    groups = [pq.ParquetFile(f).metadata for f in (tmp_path / "lake/daily_bars").rglob("*.parquet")]
+    assert all(g.row_group(0).column(0).compression == "SNAPPY" for g in groups)
+
+
+def test_repeated_writes_agree(spark, tmp_path):
+    """Rows of one key without an order: whatever order they come in, the same one stays."""
+    rows = [("000001.SZ", "2026-05-20", float(c)) for c in (3, 9, 5, 7)]
+    kept = set()
+    for k in range(3):
+        lake = Lake(spark, str(tmp_path / f"lake{k}"))
+        lake.write("daily_bars", bar(spark, rows[k:] + rows[:k]).repartition(k + 1, "close"))
+        kept.add(lake.read("daily_bars").first().close)
+    assert kept == {9.0}
+
+
+class Flaky:
+    """Answers few symbols at a time, and never for one of them."""
+
+    bounded = True
+
+    def __init__(self):
+        self.asked = []
+
+    def fetch(self, spark, request):
+        self.asked.append((len(request.symbols), request.adjust))
+        if "000003.SZ" in request.symbols:
+            raise OSError("gone")
+        return bar(spark, [(s, str(request.start), 1.0) for s in request.symbols])
+
+
+def test_chunks_and_failures(spark, tmp_path):
+    source, symbols = Flaky(), [f"{k:06}.SZ" for k in range(1, 8)]
+    engine = Engine(spark, Config(lake=str(tmp_path), adjust="hfq", daily=Sync(4, 2)), source)
+    out = engine.sync_daily(symbols, dt.date(2026, 5, 20), dt.date(2026, 5, 20))
+    assert out["failures"] == [("000003.SZ", "OSError: gone")] and out["rows"] == 6 and max(n for n, _ in source.asked) == 4
+    engine.signals(dt.date(2026, 5, 20), ["w_bottom"], ["000001.SZ"], refresh=True)
+    assert source.asked[-1][1] is sc.Adjust.BACK
+
+
+def test_settings_switch_the_fallback(spark):
+    both = readers.FallbackSource(readers.NoSource(), readers.NoSource())
+    assert Engine(spark, Config(fallback=False), both).source.enabled is False and Engine(spark, Config(), both).source.enabled is True
+
+
+def test_adjusted_tables(spark, tmp_path):
+    for name, close in (("plain", 1.0), ("front", 2.0)):
+        bar(spark, [("000001.SZ", "2026-05-20", close)]).write.parquet(str(tmp_path / name))
+    source = readers.ParquetSource(str(tmp_path / "plain"), {sc.Adjust.FRONT: str(tmp_path / "front")})
+    ask = lambda adjust: source.fetch(spark, readers.Request(("000001.SZ",), dt.date(2026, 5, 1), dt.date(2026, 5, 31), adjust=adjust)).first().close
+    assert (ask(sc.Adjust.NONE), ask(sc.Adjust.FRONT)) == (1.0, 2.0)
+    with pytest.raises(ValueError):
+        ask(sc.Adjust.BACK)
+
+
+def test_pages_go_back_to_the_start(spark):
+    def page(symbol, offset, count):
+        if symbol == "000009.SZ":
+            raise OSError("gone")
+        days = [{"time": dt.datetime(2026, 1, 1, 9, 31) + dt.timedelta(days=k), "close": float(k)} for k in range(30)]
+        end = len(days) - max(0, offset - 1)  # pages overlap by a bar
+        return days[max(0, end - count) : end]
+
+    source = readers.PagedSource(page, count=7, tasks=2)
+    asked = readers.Request(("000001.SZ", "000009.SZ"), dt.date(2026, 1, 10), dt.date(2026, 1, 28), sc.Period.M1)
+    got = source.fetch(spark, asked).orderBy("time").collect()
+    assert [r.time for r in got] == [f"2026-01-{d:02} 09:31:00" for d in range(10, 29)] and {r.symbol for r in got} == {"000001.SZ"}
+    assert [r.close for r in got] == [float(d - 1) for d in range(10, 29)] and got[0].exchange == "SZ" and got[0].factor == 1.0
+
+
+def test_many_symbols_are_a_table(spark, monkeypatch):
+    df = bar(spark, [(f"{k:06}.SZ", "2026-05-20", 1.0) for k in range(9)])
+    monkeypatch.setattr(readers, "LISTED", 2)
+    assert readers.only_symbols(df, ("000001.SZ", "000003.SZ", "000003.SZ", "000099.SZ")).count() == 2
+
+
+def test_months_are_committed_in_turn(spark, tmp_path):
+    days = ["2026-01-30", "2026-02-02", "2026-02-27", "2026-03-02"]
+    bar(spark, [("000001.SZ", d, 1.0) for d in days]).write.parquet(str(tmp_path / "src"))
+    engine = Engine(spark, Config(lake=str(tmp_path / "lake")), readers.ParquetSource(str(tmp_path / "src")))
+    out = engine.sync_months(["000001.SZ"], dt.date(2026, 1, 15), dt.date(2026, 3, 10), ahead=1)
+    assert [(x["until"], x["rows"]) for x in out] == [(dt.date(2026, 1, 31), 1), (dt.date(2026, 2, 28), 2), (dt.date(2026, 3, 10), 1)]
+    assert engine.lake.watermark("daily_bars") == dt.date(2026, 3, 10) and engine.lake.read("daily_bars").count() == 4
+    engine.source = readers.ParquetSource(str(tmp_path / "nowhere"))
+    with pytest.raises(Exception, match="nowhere"):
+        engine.sync_months(["000001.SZ"], dt.date(2026, 4, 1), dt.date(2026, 5, 10))
+
+
+def test_cron_times():
+    t = dt.datetime(2026, 5, 22, 15, 30)  # a Friday
+    assert next_time("0 30 15 * * *", t) == dt.datetime(2026, 5, 23, 15, 30)
+    assert next_time("0 10,40 9-15/2 * * 1-5", t) == dt.datetime(2026, 5, 22, 15, 40)
+    assert next_time("*/20 0 0 1 1 *", t) == dt.datetime(2027, 1, 1) and next_time("0 0 12 29 2 0", t) == dt.datetime(2032, 2, 29, 12)
+    for bad in ("0 30 15 * *", "0 60 15 * * *", "0 0 0 31 2 *", "0 0 0 0 * *", "0 5-1 * * * *"):
+        with pytest.raises(ValueError):
+            next_time(bad, t)
+
+
+def test_schedule_runs_what_is_due_and_notes_failures():
+    ran = []
+    schedule = Schedule({"0 30 15 * * *": lambda: ran.append("daily"), "0 10 15 * * *": lambda: 1 / 0}, "Asia/Shanghai")
+    since = dt.datetime(2026, 5, 22, 15, 0, tzinfo=schedule.zone)
+    schedule.run_due(since, since + dt.timedelta(minutes=5))
+    assert ran == [] and schedule.errors == []
+    schedule.run_due(since, since + dt.timedelta(hours=1))
+    assert ran == ["daily"] and "ZeroDivisionError" in schedule.errors[0][1] and schedule.done == 1
+    soon = Schedule({"* * * * * *": lambda: ran.append("soon")}, "UTC")
+    soon.start()
+    assert soon.running
+    threading.Event().wait(2.5)
+    soon.stop()
+    assert "soon" in ran and not soon.running
+
+
+def test_scans_side_by_side_keep_their_own_patterns(spark):
+    bars = fr.between_dates(daily_bars(spark, "/root/testdata/sf0.001"), dt.date(1995, 6, 1), dt.date(1996, 6, 28))
+    ready = scan.prepared(bars).persist()
+    sets = [["w_bottom", "limit_up_pullback"], ["trend_start"], ["multi_golden_cross", "morning_star"]]
+    one = lambda ids: sorted((r.symbol, str(r.time), r.pattern_id) for r in scan.signals(ready, [det.lookup(p) for p in ids], latest_only=False).collect())
+    want, got = [one(s) for s in sets], [None] * 3
+    threads = [threading.Thread(target=lambda k=k: got.__setitem__(k, one(sets[k]))) for k in range(3)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    ready.unpersist()
+    assert got == want and any(want)
+
+
+def test_latest_signals_are_those_of_the_whole_series(spark):
+    bars = fr.between_dates(daily_bars(spark, "/root/testdata/sf0.001"), dt.date(1994, 1, 1), dt.date(1996, 6, 28))
+    whole = {tuple(map(str, r)) for r in scan.signals(scan.prepared(bars)).collect()}
+    assert {tuple(map(str, r)) for r in scan.latest_signals(bars).collect()} == whole and whole
+
+
+@dataclass(frozen=True)
+class Own:
+    id, score, tags, explanation = "own", 0.5, ("mine",), "The close rises."
+
+    def found(self):
+        return F.when(F.col("close") > F.col("prev"), F.struct(F.col("time").alias("signal_date"), det.B.back("close", 3).alias("before")))
+
+
+def test_a_detector_of_ones_own_and_progress(spark, tmp_path):
+    bars = daily_bars(spark, "/root/testdata/sf0.001").withColumn("time", F.col("time").cast("string"))
+    found = scan.latest_signals(fr.between_dates(bars, "1995-06-01", "1996-06-28"), [Own()])
+    assert set(found.first().evidence and __import__("json").loads(found.first().evidence)) == {"signal_date", "before"}
+    lake = Lake(spark, str(tmp_path))
+    lake.write("daily_bars", fr.between_dates(bars, "1995-06-01", "1996-06-28"))
+    told = []
+    job = Engine(spark, Config(lake=str(tmp_path))).scan_market(dt.date(1996, 6, 28), ["trend_start"], wait=True, on_progress=told.append)
+    assert job.status == "succeeded" and told[-1] == job.progress == job.result["counters"] and job.progress["failed"] == 0
+
+
+def test_evidence_has_every_key(spark):
+    """The keys that users of these patterns read, with kinds and reasons."""
+    keys = {
+        "limit_up_pullback": {"key_date", "key_date_type", "limit_up_date", "reasons", "support_price", "latest_volume_ratio"}, "morning_star": {"key_date", "third_candle_date", "reasons", "ma5"},
+        "multi_golden_cross": {"key_date", "key_date_type", "reasons", "bull_bear_line"}, "multi_party_cannon": {"key_date", "reasons", "pattern_category"}, "trend_start": {"key_date", "pattern_type", "reasons"},
+        "resistance_breakout": {"key_date", "key_date_type", "reasons", "support"}, "trend_resonance_reversal": {"key_date", "key_date_type", "rsi_breakout_day", "reasons"},
+        "w_bottom": {"key_date", "key_date_type", "break_date", "trend_reversal", "reasons"}, "limit_up_sideways": {"key_date", "key_date_type", "limit_up_date", "reasons"},
+        "immortal_guidance": {"key_date", "key_date_type", "signal_day", "key_day_open", "ma5", "ma10", "ma20", "confirmation_details", "reasons"},
+    }
+    ready, made = det.B.apply(scan.prepared(daily_bars(spark, "/root/testdata/sf0.001")), [det.lookup(k) for k in keys])
+    df = ready.select(*[e.alias(k) for k, e in zip(keys, made, strict=True)])
+    for k, want in keys.items():
+        names = df.select(evidence.whole(k, F.col(k), df.schema[k].dataType.names).alias("e")).schema["e"].dataType.names
+        assert want <= set(names) and len(names) == len(set(names)), k

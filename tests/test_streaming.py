@@ -32,7 +32,7 @@ def test_loop(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "in"))
     sent = []
     loop = QuoteLoop(spark, lambda df: sent.extend(r.subject for r in df.collect()))
-    assert loop.status() == {"running": False, "last": None, "error": None}
+    assert loop.status() == {"running": False, "last": None, "error": None, "reconnects": 0}
     source = lambda: spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
     loop.start(source(), str(tmp_path / "check"), every=None)
     loop.query.awaitTermination(60)
@@ -42,3 +42,27 @@ def test_loop(spark, tmp_path):
     with pytest.raises(Exception):
         loop.query.awaitTermination(60)
     assert "unsupported symbol" in loop.status()["error"] and len(sent) == 25
+
+
+def test_ticks_at_any_depth_and_behind_empty_wrappers(spark):
+    deep = '{"data": ' * 12 + '{"000001.SZ": ' + '{"tick": ' * 9 + '{"time": 1, "open": "2"}' + "}" * 22
+    behind = '{"000002.SZ": {"tick": {}, "data": [{"time": null}], "items": [{"time": 3}, {"time": 4}], "time": 9}, "000003.SZ": {"tick": {}, "time": 7, "stockStatus": 5}}'
+    got = normalize_ticks(spark.createDataFrame([(deep, 1), (behind, 2), ("[" * 100_000, 3)], "payload string, n int"), ["n"]).collect()
+    assert sorted((r.n, r.symbol, r.time, r.open, r.stock_status) for r in got) == [(1, "000001.SZ", "1", 2.0, None), (2, "000002.SZ", "3", None, None), (2, "000002.SZ", "4", None, None), (2, "000003.SZ", "7", None, "5")]
+
+
+def test_reconnects(spark, tmp_path):
+    rows = spark.createDataFrame([("000001.SZ", (1, 1.0, [1.0]))], TICK)
+    rows.write.parquet(str(tmp_path / "in"))
+    sent, up = [], []
+
+    def publish(df):
+        if not up:
+            raise ConnectionError("bus is down")
+        sent.extend(r.subject for r in df.collect())
+
+    source = lambda: spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    loop = QuoteLoop(spark, publish, reconnect=lambda: up.append(1), pause=0.01)
+    loop.start(source(), str(tmp_path / "check"), every=None)
+    loop.query.awaitTermination(60)
+    assert sent == ["stock.tick.000001.SZ"] and loop.status()["reconnects"] == 1
