@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import SPACE_CLASS, let, materialize
+from tapeline.llm.common import SPACE_CLASS, let, materialize, unpacked
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "[#*$%&|<>]"
@@ -94,48 +94,47 @@ def sorted_places(windows: Column) -> Column:
 
 
 def judged(docs: DataFrame, labels: DataFrame, cut: float = CUT, pairs: bool = False) -> DataFrame:
-    """docs, all columns, with a struct column _rules of the counts, ratio, base_failed and kept.
+    """own, a struct of all columns of docs, and rules, one of the counts, ratio, base_failed and kept.
 
     Three-word windows are told apart by 64-bit hashes of their words' hashes. The columns are made
     step by step, each used more than once by the next, so none is computed again within another.
     """
     weights = model(docs, trusted_sample(labels), pairs).scalar()
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    df = docs.select(*own, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"), weights.alias("_weights"))
-    df = df.select("*", words_of(F.col("_text")).alias("_words"))
-    df = df.select("*", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
-    n, h = F.size("_words"), F.col("_hashes")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    df = docs.select(own.alias("own"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), weights.alias("weights"))
+    df = df.select("*", words_of(F.col("text")).alias("words"))
+    df = df.select("*", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    n, h = F.size("words"), F.col("hashes")
     windows = F.transform(F.slice(h, 1, F.greatest(n - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2)))
-    df = df.select("*", windows.alias("_windows"))
-    df = df.select("*", F.sort_array("_windows").alias("_sorted"))
-    before = lambda k: F.get(F.col("_sorted"), F.greatest(k - 1, F.lit(0)))
-    df = df.select("*", F.array_distinct(F.filter("_sorted", lambda x, k: (x == before(k)) & (k > 0))).alias("_twice"))
-    each = F.filter(F.sequence(F.lit(0), n - 3), lambda i: F.array_contains(F.col("_twice"), F.get(F.col("_windows"), i)))
-    places = F.when(F.size("_twice") == 0, F.array().cast("array<int>")).when(F.size("_twice") <= FEW, each).otherwise(sorted_places(F.col("_windows")))
-    worded = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    w = F.col("_weights")
-    sums = F.aggregate(h, F.lit(0.0), lambda a, x: a + F.get(w, bucket(x))) + F.aggregate("_words", F.lit(0.0), lambda a, x: a + F.get(w, bucket(ending(x))))
+    df = df.select("*", windows.alias("windows"))
+    df = df.select("*", F.sort_array("windows").alias("sorted"))
+    before = lambda k: F.get(F.col("sorted"), F.greatest(k - 1, F.lit(0)))
+    df = df.select("*", F.array_distinct(F.filter("sorted", lambda x, k: (x == before(k)) & (k > 0))).alias("twice")).drop("sorted")
+    each = F.filter(F.sequence(F.lit(0), n - 3), lambda i: F.array_contains(F.col("twice"), F.get(F.col("windows"), i)))
+    places = F.when(F.size("twice") == 0, F.array().cast("array<int>")).when(F.size("twice") <= FEW, each).otherwise(sorted_places(F.col("windows")))
+    worded = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
+    w = F.col("weights")
+    sums = F.aggregate(h, F.lit(0.0), lambda a, x: a + F.get(w, bucket(x))) + F.aggregate("words", F.lit(0.0), lambda a, x: a + F.get(w, bucket(ending(x))))
     grams = 2 * n
     if pairs:
         sums = sums + F.aggregate(neighbours(h), F.lit(0.0), lambda a, x: a + F.get(w, bucket(x)))
         grams = 3 * n - 1
     df = df.select(
-        *own,
+        "own",
         F.struct(
             n.cast("long").alias("n_words"),
-            F.aggregate("_words", F.lit(0).cast("long"), lambda a, x: a + F.char_length(x)).alias("word_chars"),
-            F.regexp_count("_text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+            F.aggregate("words", F.lit(0).cast("long"), lambda a, x: a + F.char_length(x)).alias("word_chars"),
+            F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
             let(worded, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             let(places, covered).cast("long").alias("n_repeat_words"),
             F.when(n == 0, F.lit(0.0)).otherwise(sums / grams).alias("ratio"),
-        ).alias("_r"),
+        ).alias("r"),
     )
-    failed = (F.col("_r.n_words") < 50) | (100 * F.col("_r.n_repeat_words") > 50 * F.col("_r.n_words"))
+    failed = (F.col("r.n_words") < 50) | (100 * F.col("r.n_repeat_words") > 50 * F.col("r.n_words"))
     # The last term is always true. As it is not deterministic, no filter on kept moves below this
     # projection, where it would compute every column again inside another's lambda.
-    kept = ~failed & (F.col("_r.ratio") >= cut) & (F.monotonically_increasing_id() >= 0)
-    rules = F.struct("_r.*", failed.alias("base_failed"), kept.alias("kept"))
-    return df.select(*own, rules.alias("_rules"))
+    kept = ~failed & (F.col("r.ratio") >= cut) & (F.monotonically_increasing_id() >= 0)
+    return df.select("own", F.struct("r.*", failed.alias("base_failed"), kept.alias("kept")).alias("rules"))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, cut: float = CUT, pairs: bool = False) -> DataFrame:
@@ -149,10 +148,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, cut: float = CUT, pairs: b
     scored where they lie: nothing is shuffled but bucket counts.
     """
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = judged(picked, labels, cut, pairs).select("doc_id", "_rules.*")
+    found = judged(picked, labels, cut, pairs).select("own.doc_id", "rules.*")
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
 
 
 def keep_by_rules(docs: DataFrame, labels: DataFrame, cut: float = CUT, pairs: bool = False) -> DataFrame:
     """The rows of docs that the rules keep, with the columns of docs."""
-    return judged(docs, labels, cut, pairs).where("_rules.kept").drop("_rules")
+    return unpacked(judged(docs, labels, cut, pairs).where("rules.kept"), docs)
