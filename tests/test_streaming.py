@@ -17,7 +17,7 @@ def test_messages(spark):
 def test_ticks(spark):
     payloads = [
         '{"data": {"000001.SZ": {"time": 5, "lastPrice": "10.1", "askPrice1": 3, "bidVol5": " ", "openInt": 7}}}',
-        '[{"result": {"items": {"600000.SH": [{"tick": {"datetime": "x", "lastPrice": null}}, {"lastPrice": 1}]}}}]',
+        '[{"result": {"items": {"600000.SH": [{"datetime": "x", "lastPrice": null}, {"lastPrice": 1}, {"tick": {"time": 1}}]}}}]',
         '{"data": {"nothing": {"time": 1}}, "000002.SZ": {"ticks": [{"timestamp": "9"}]}}', "null", "", "broken{",
     ]
     got = {r.symbol: r for r in normalize_ticks(spark.createDataFrame([(p,) for p in payloads], "payload string")).collect()}
