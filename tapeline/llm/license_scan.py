@@ -179,10 +179,12 @@ class Scanner:
         for p in sorted({p for w in rare for p in places.get(w, ())}):
             if p < done:
                 continue
-            # The places that the word's own places in the template give, then a wide window: where
-            # copies stand side by side, no word is unique in the wide one.
+            # The places that the word's own places in the template give, as they stand and with room
+            # for words between, then a wide window: where copies stand side by side, no word is
+            # unique in the wide one.
             best = (0.0, 0, 0)
-            for low, high in [*((p - j - spare, p - j + n + spare) for j, w in enumerate(template) if w == words[p]), (p - reach, p + reach)]:
+            own = [p - j for j, w in enumerate(template) if w == words[p]]
+            for low, high in [*((k - m, k + n + m) for m in (0, spare) for k in own), (p - reach, p + reach)]:
                 low, high = max(0, low), min(len(words), high)
                 if (low, high) in tried:
                     continue

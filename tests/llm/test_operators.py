@@ -473,6 +473,39 @@ def test_licence_families(spark):
     assert few.scan("one two three four x") == few.scan("one two x three four five") == [] and len(few.scan("x one two three four five x")) == 1
 
 
+def scanned_plainly(words, template, core, coverage):
+    """The best coverage in any window of at most twice the template's length."""
+    best, n = 0.0, len(template)
+    for low in range(len(words)):
+        for high in range(low + math.ceil(coverage * n), min(len(words), low + license_scan.SPREAD * n) + 1):
+            pairs = license_scan.align(words[low:high], template)
+            if len(pairs) >= coverage * n:
+                a, b = low + pairs[0][0], low + pairs[-1][0] + 1
+                if not core or any(words[p : p + len(core)] == core for p in range(a, b - len(core) + 1)):
+                    best = max(best, len(pairs) / n)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_licences_against_every_window(seed, monkeypatch):
+    """Templates planted with words changed, dropped and put between, some with words that must be there."""
+    monkeypatch.setattr(license_scan, "FEW", 0)
+    r = random.Random(seed)
+    vocab = [f"w{k}" for k in range(r.choice((25, 60)))]
+    t = [r.choice(vocab) for _ in range(r.randint(5, 14))]
+    core = t[2:4] if r.random() < 0.4 else []
+    text = [r.choice(vocab) for _ in range(r.randint(0, 15))]
+    for _ in range(r.randint(0, 2)):
+        c = list(t)
+        for _ in range(r.randint(0, 3)):
+            k, kind = r.randrange(len(c)), r.random()
+            c = c[:k] + [r.choice([*vocab, "x"])] + c[k:] if kind < 0.4 else c[:k] + c[k + 1 :] if kind < 0.7 and len(c) > 2 else c[:k] + ["y"] + c[k + 1 :]
+        text += c + [r.choice(vocab) for _ in range(r.randint(0, 10))]
+    marked = " ".join([*t[:2], "{" + " ".join(core) + "}" if core else " ".join(t[2:4]), *t[4:]])
+    found = license_scan.Scanner({"t": marked}, 0.8).scan(" ".join(text))
+    assert bool(found) == (scanned_plainly(text, t, core, 0.8) > 0)
+
+
 def test_alignment():
     r = random.Random(0)
     for _ in range(300):
