@@ -76,6 +76,12 @@ def op9_ngram_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), pairs=True)
 
 
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op9 that SQL can express, without the likelihood ratio."""
+    rules = op9_ngram_quality_rules(spark, sf_dir)
+    return rules.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tapeline.llm.topk import exact_top_k
 
@@ -95,10 +101,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_ngram_quality_rules,
         op10_exact_top_k,
+        quality_base_counts,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "quality_base_counts": r"""
+        with w as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+        g as (select doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as g from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i from w where len(ws) >= 3)),
+        again as (select doc_id, i from g qualify count(*) over (partition by doc_id, g) > 1),
+        covered as (select doc_id, count(distinct p) as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from again) group by doc_id),
+        c as (select w.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) as bigint) as word_chars,
+                     cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+                     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines, cast(coalesce(covered.n, 0) as bigint) as n_repeat_words
+              from w left join covered using (doc_id))
+        select doc_id, n_words, word_chars, n_symbols, cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines, n_repeat_words,
+               n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c""",
     "op10_exact_top_k": """
         with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
                    from embeddings
