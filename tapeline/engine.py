@@ -34,6 +34,14 @@ class Engine:
         self.syncing = threading.Lock()
         self.schedule: Schedule | None = None
 
+    def health(self) -> dict:
+        """Whether the session answers and the lake's folder can be reached."""
+        try:
+            self.lake.ensure()
+            return {"ok": self.spark.range(1).count() == 1, "message": self.lake.root}
+        except Exception as e:
+            return {"ok": False, "message": f"{type(e).__name__}: {e}".splitlines()[0]}
+
     # Sync
 
     def _sync(self, table: str, symbols: Iterable[str], start: dt.date | None, end: dt.date | None, period: sc.Period, incremental: bool) -> dict:

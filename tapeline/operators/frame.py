@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tapeline.functions.scalars import datetime_parts, parse_datetime
+
 STRINGS = ["symbol", "exchange", "period", "source"]
 NUMBERS = ["open", "high", "low", "close", "volume", "amount", "turnover_rate", "factor"]
 
@@ -68,6 +70,36 @@ def day_keys(df: DataFrame) -> DataFrame:
     return df.withColumn("trade_date", F.substring(F.col("time").cast("string"), 1, 10))
 
 
+def _picked(df: DataFrame, kinds: dict[str, str], names: dict[str, str]) -> DataFrame:
+    """Columns of the given types, by other names in the frame where names says so; null where it has none."""
+    there = {c: names.get(c, c) for c in kinds}
+    return df.select(*[(F.col(of).cast(kinds[c]) if of in df.columns else F.lit(None).cast(kinds[c])).alias(c) for c, of in there.items()])
+
+
+PRICES = dict.fromkeys(("open", "high", "low", "close", "volume", "amount"), "double")
+
+
+def daily_rows(frame: DataFrame) -> DataFrame:
+    """Daily bars as they are handed on and stored: adj_factor for the factor, settle and open_interest where known."""
+    kinds = {"symbol": "string", "exchange": "string", "time": "string"} | PRICES | {"adj_factor": "double", "settle": "double", "open_interest": "double", "source": "string"}
+    return _picked(frame, kinds, {"adj_factor": "factor"})
+
+
+def minute_rows(frame: DataFrame) -> DataFrame:
+    """Minute bars with their trade date, turnover and factor."""
+    kinds = {"symbol": "string", "exchange": "string", "trade_date": "string", "time": "string"} | PRICES | {"turn_over": "double", "turn_over_rate": "double", "factor": "double"}
+    dated = frame.withColumn("trade_date", F.substring(F.col("time").cast("string"), 1, 10))
+    return _picked(dated, kinds, {"turn_over": "amount", "turn_over_rate": "turnover_rate"})
+
+
+def raw_rows(frame: DataFrame) -> DataFrame:
+    """Bars with the parts of their time as numbers and the time as a text; rows without a valid time go."""
+    t = parse_datetime(F.col("time").cast("string"))
+    rows = _picked(frame, PRICES, {}).columns
+    dated = frame.withColumn("_t", t).where(F.col("_t").isNotNull()).withColumn("_p", datetime_parts(F.col("_t")))
+    return dated.select(*[F.col(c).cast("double").alias(c) if c in frame.columns else F.lit(None).cast("double").alias(c) for c in rows], "_p.*", F.date_format("_t", "yyyy-MM-dd HH:mm").alias("datetime"))
+
+
 def symbols(df: DataFrame) -> DataFrame:
     return df.select("symbol").where(F.col("symbol").isNotNull()).distinct()
 

@@ -186,3 +186,40 @@ def evidence_of_trend_starts(spark, sf_dir):
         "symbol", F.col("time").cast("string").alias("time"), _field("key_date"), _field("pattern_type"), F.round(_field("dif", "double"), 6).alias("dif"),
         F.round(_field("ma5", "double"), 6).alias("ma5"), F.json_array_length(F.get_json_object("evidence", "$.reasons")).alias("reasons"),
     )
+
+
+@query(f"""
+    select symbol, exchange, strftime(time, '%Y-%m-%d') as time, round(open, 6) as open, round(close, 6) as close, volume, cast(null as double) as amount, 1.0::double as adj_factor,
+           cast(null as double) as settle, 'derived' as source from ({DAILY_SQL})""")
+def frame_to_daily_rows(spark, sf_dir):
+    bars = daily_bars(spark, sf_dir).withColumns({"factor": F.lit(1.0), "source": F.lit("derived")})
+    return fr.daily_rows(bars).select("symbol", "exchange", "time", F.round("open", 6).alias("open"), F.round("close", 6).alias("close"), "volume", "amount", "adj_factor", "settle", "source")
+
+
+@query(f"""
+    select round(close, 6) as close, cast(year(time) as int) as year, cast(month(time) as int) as month, cast(day(time) as int) as day, cast(hour(time) as int) as hour, cast(minute(time) as int) as minute,
+           strftime(time, '%Y-%m-%d %H:%M') as datetime from ({INTRADAY_SQL})""")
+def frame_to_raw_rows(spark, sf_dir):
+    bars = intraday_bars(spark, sf_dir).withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
+    return fr.raw_rows(bars).select(F.round("close", 6).alias("close"), "year", "month", "day", "hour", "minute", "datetime")
+
+
+@query(f"""
+    select concat(symbol, '.SZ') as symbol, 'SZ' as exchange, strftime(time, '%Y-%m-%d') as trade_date, strftime(time, '%Y-%m-%d %H:%M:%S') as time, round(close, 6) as close, cast(null as double) as turn_over
+    from ({INTRADAY_SQL})""")
+def frame_to_minute_rows(spark, sf_dir):
+    bars = intraday_bars(spark, sf_dir).select(F.concat("symbol", F.lit(".SZ")).alias("symbol"), F.lit("SZ").alias("exchange"), F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "close")
+    return fr.minute_rows(bars).select("symbol", "exchange", "trade_date", "time", F.round("close", 6).alias("close"), "turn_over")
+
+
+@query(f"""
+    select symbol, exchange, strftime(time, '%Y-%m-%d') as time, round(open, 6) as open, round(close, 6) as close, volume, 0.0::double as amount, 1.0::double as factor
+    from ({DAILY_SQL}) where time between date '{START}' and date '{LAST}'""")
+def response_to_frame(spark, sf_dir):
+    """Bars as a service nests them, a list for each symbol, exploded again."""
+    bars = fr.between_dates(daily_bars(spark, sf_dir), dt.date.fromisoformat(START), dt.date.fromisoformat(LAST))
+    ms = F.unix_date("time").cast("long") * 86_400_000 - 8 * 3_600_000  # the day's start where the exchange is
+    one = F.struct(ms.alias("time_ms"), "open", "high", "low", "close", F.col("volume").cast("long").alias("volume"), F.lit(None).cast("double").alias("amount"))
+    items = bars.groupBy("symbol").agg(F.collect_list(one).alias("bars"))
+    found = readers.bars_from_response(items, sc.Period.D1)
+    return found.select("symbol", "exchange", "time", F.round("open", 6).alias("open"), F.round("close", 6).alias("close"), "volume", "amount", "factor")

@@ -85,6 +85,27 @@ class ParquetSource:
         return only_symbols(fr.between_dates(df, start, end), request.symbols)
 
 
+RESPONSE = "symbol string, bars array<struct<time_ms:bigint,open:double,high:double,low:double,close:double,volume:bigint,amount:double>>"
+
+
+@dataclass(frozen=True)
+class RemoteSource:
+    """Bars of a service: ask(request) gives a dict with status, message and items, each item a dict of a
+    symbol and its bars (time_ms and numbers). A status other than 0 is an error."""
+
+    ask: Callable[[Request], dict]
+    bounded = True
+
+    def fetch(self, spark: SparkSession, request: Request) -> DataFrame:
+        got = self.ask(request)
+        if got.get("status", 0) != 0:
+            raise OSError(f"the source answered {got['status']}: {got.get('message') or 'no reason'}")
+        fields = ("time_ms", "open", "high", "low", "close", "volume", "amount")
+        number = lambda f, x: None if x is None else int(x) if f in ("time_ms", "volume") else float(x)
+        items = [(i["symbol"], [tuple(number(f, b.get(f)) for f in fields) for b in i.get("bars") or []]) for i in got.get("items") or []]
+        return bars_from_response(spark.createDataFrame(items, RESPONSE), request.period)
+
+
 @dataclass(frozen=True)
 class NoSource:
     """A source that is switched off: no bars, whatever is asked."""

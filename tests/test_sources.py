@@ -346,3 +346,17 @@ def test_evidence_has_every_key(spark):
     for k, want in keys.items():
         names = df.select(evidence.whole(k, F.col(k), df.schema[k].dataType.names).alias("e")).schema["e"].dataType.names
         assert want <= set(names) and len(names) == len(set(names)), k
+
+
+def test_service_answers(spark):
+    bars = [{"time_ms": 1779235200000, "open": 1, "high": 2.0, "low": 0.5, "close": 1.5, "volume": 100.0}]
+    asked = readers.Request(("000001.SZ",), dt.date(2026, 5, 20), dt.date(2026, 5, 20))
+    r = readers.RemoteSource(lambda q: {"items": [{"symbol": q.symbols[0], "bars": bars}, {"symbol": "000002.SZ"}]}).fetch(spark, asked).collect()
+    assert [(x.symbol, x.time, x.close, x.amount) for x in r] == [("000001.SZ", "2026-05-20", 1.5, 0.0)]
+    with pytest.raises(OSError, match="7: busy"):
+        readers.RemoteSource(lambda q: {"status": 7, "message": "busy"}).fetch(spark, asked)
+
+
+def test_health(spark, tmp_path):
+    assert Engine(spark, Config(lake=str(tmp_path / "lake"))).health()["ok"] and (tmp_path / "lake").is_dir()
+    assert not Engine(spark, Config(lake="nosuch://x/lake")).health()["ok"]
