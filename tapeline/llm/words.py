@@ -29,19 +29,19 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-#: Bytes that each of a worker's two caches of words may take, and what an entry takes beside its
-#: word and ids. Longer words are not kept.
-ROOM, ENTRY, LONGEST = 32 << 20, 200, 64
+#: Bytes that a worker's caches of words and of their parts may take, and what an entry takes
+#: beside its word and ids. Longer words are not kept.
+ROOM, ENTRY, LONGEST = {"words": 96 << 20, "parts": 32 << 20}, 200, 64
 
 
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
-    The caches take at most `room` bytes each and are emptied when full, so memory is bounded
-    whatever the words are.
+    The caches take at most `room` bytes and are emptied when full, so memory is bounded whatever
+    the words are.
     """
 
-    def __init__(self, path: str, room: int = ROOM):
+    def __init__(self, path: str, room: dict[str, int] = ROOM):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -70,7 +70,7 @@ class WordEncoder:
             return
         cache = getattr(self, name)
         self.held[name] += ENTRY + len(word) + len(ids)
-        if self.held[name] > self.room:
+        if self.held[name] > self.room[name]:
             cache.clear()
             self.held[name] = ENTRY + len(word) + len(ids)
         cache[word] = ids
