@@ -40,13 +40,13 @@ def _lake(spark, sf_dir) -> Lake:
 
 
 _MERGED = f"""with {BARS} select symbol, exchange, strftime(time, '%Y-%m-%d') as time, close + case when time >= date '{BOTH}' then 1 else 0 end as close, volume,
-    strftime(time, '%Y') as year, strftime(time, '%m') as month, case when time < date '{BOTH}' then true end as adjusted
+    strftime(time, '%Y') as year, strftime(time, '%m') as month, case when time < date '{BOTH}' then 'true' end as adjusted
     from bars where time between date '{START}' and date '{LAST}'"""
 
 
 @query(f"select symbol, exchange, time, round(close, 6) as close, volume, year, month, adjusted from ({_MERGED})")
 def lake_merge(spark, sf_dir):
-    return _lake(spark, sf_dir).read("daily_bars").select("symbol", "exchange", "time", F.round("close", 6).alias("close"), "volume", "year", "month", "adjusted")
+    return _lake(spark, sf_dir).read("daily_bars").select("symbol", "exchange", "time", F.round("close", 6).alias("close"), "volume", "year", "month", F.col("adjusted").cast("string").alias("adjusted"))
 
 
 @query(f"select symbol, time, round(close, 6) as close from ({_MERGED}) where symbol = '000001.SH' and time between '1995-02-01' and '1995-04-30'")
@@ -69,7 +69,7 @@ def sync_watermark(spark, sf_dir):
     return found.select(F.lit(mark).alias("marked"), F.lit(engine.lake.next_start("daily_bars", mark)).alias("next_start"), "symbols")
 
 
-_MINUTES_SQL = f"select concat(symbol, '.SZ') as symbol, strftime(time, '%Y-%m-%d %H:%M:%S') as time, close, volume from ({INTRADAY_SQL})"
+_MINUTES_SQL = f"select concat(upper(symbol), '.SZ') as symbol, strftime(time, '%Y-%m-%d %H:%M:%S') as time, close, volume from ({INTRADAY_SQL})"
 
 
 @query(f"""
@@ -77,7 +77,7 @@ _MINUTES_SQL = f"select concat(symbol, '.SZ') as symbol, strftime(time, '%Y-%m-%
     select m.symbol, m.time, round(m.close, 6) as close from m join d on m.symbol = d.symbol and substr(m.time, 1, 10) = d.day and substr(m.time, 12) between '09:30:00' and '15:00:00'""")
 def lake_minutes_of_session(spark, sf_dir):
     """One symbol's session of one day out of a minute lake."""
-    bars = intraday_bars(spark, sf_dir).select(F.concat("symbol", F.lit(".SZ")).alias("symbol"), F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "open", "high", "low", "close", "volume")
+    bars = intraday_bars(spark, sf_dir).select(F.concat(F.upper("symbol"), F.lit(".SZ")).alias("symbol"), F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "open", "high", "low", "close", "volume")
     lake = Lake(spark, scratch(spark, "lake"))
     lake.write("minute_bars_1m", bars)
     symbol, day = bars.groupBy("symbol").agg(F.min(F.substring("time", 1, 10))).orderBy("symbol").first()
