@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,13 +83,16 @@ class Lake:
         staged = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
         rows.write.parquet(f"{staged}/new")
         rows = self.spark.read.parquet(f"{staged}/new")
-        touched = self.spark.createDataFrame(rows.select(*by).distinct().limit(MOST_LISTED + 1).collect(), rows.select(*by).schema)
-        n = touched.count()
-        # So many names of partitions are a few megabytes at most; more are joined by a shuffle.
-        touched = F.broadcast(touched) if n <= MOST_LISTED else rows.select(*by).distinct()
+        listed = rows.select(*by).distinct().limit(MOST_LISTED + 1).collect()
+        n = len(listed)
+        # So many names of partitions are a few megabytes at most; more are joined by a shuffle. Each
+        # column's own values are compared too, as plain comparisons of partition columns prune a scan.
+        touched = F.broadcast(self.spark.createDataFrame(listed, rows.select(*by).schema)) if n <= MOST_LISTED else rows.select(*by).distinct()
+        within = [F.col(c).isin(*sorted({r[c] for r in listed})) for c in by] if 0 < n <= MOST_LISTED else []
+        near = reduce(Column.__and__, within, F.lit(True))
         if merge and exists(self.spark, self.path(table)):
             # Partition values name folders, so only the touched partitions are read.
-            old = self.read(table).join(touched, by, "left_semi").withColumn("_new", F.lit(0))
+            old = self.read(table).where(near).join(touched, by, "left_semi").withColumn("_new", F.lit(0))
             rows = fr.dedup(rows.unionByName(old, allowMissingColumns=True), [F.col("_new")])
         rows = rows.drop("_new")
         out = rows.repartition(*by).sortWithinPartitions(*by, *SORT[table])
@@ -101,13 +105,13 @@ class Lake:
         writer = merged.sortWithinPartitions(*by, *SORT[table]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer = writer.option("maxRecordsPerFile", self.part_rows if table == "minute_bars_1m" else 0).option("parquet.block.row.count.limit", GROUP_ROWS)
         writer.option("compression", "snappy").partitionBy(*by).parquet(self.path(table))
-        self._validate(table, touched, count)
+        self._validate(table, near, touched, count)
         self._delete(staged)
         return {"rows": count, "partitions": n if n <= MOST_LISTED else touched.count()}
 
-    def _validate(self, table: str, touched: DataFrame, rows: int) -> None:
+    def _validate(self, table: str, near: Column, touched: DataFrame, rows: int) -> None:
         """What was written can be read, and is all there."""
-        got = self.read(table).join(touched, PARTITIONS[table], "left_semi").count()
+        got = self.read(table).where(near).join(touched, PARTITIONS[table], "left_semi").count()
         if got != rows:
             raise OSError(f"{table}: {got} rows in the written partitions instead of {rows}")
 
