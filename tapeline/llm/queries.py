@@ -88,6 +88,36 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tapeline.llm.vector_codes import vector_codes
+
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def vector_codes_sql(rounds: int = 4) -> str:
+    """op13 in SQL: a table of codebooks (b) and one of nearest entries (n) for each round."""
+
+    def nearest(k: int) -> str:
+        return f"""n{k} as (select i, p, a // 256 as d, a % 256 as e from (
+            select i, p.p, min(256 * cast(xx - 2 * list_dot_product(x, c) + cc as hugeint) + e) as a from p join b{k} b on p.p = b.p group by i, p.p))"""
+
+    steps = [nearest(0)]
+    for k in range(rounds):
+        steps.append(f"""m{k} as (select p, e, list(s order by j) as c from (
+            select n.p, n.e, j, floor(sum(x[j]) / count(*)) as s from n{k} n join p on n.i = p.i and n.p = p.p, unnest(range(1, len(x) + 1)) as t(j) group by n.p, n.e, j) group by p, e)""")
+        steps.append(f"""b{k + 1} as (select p, e, c, list_dot_product(c, c) as cc from (select b.p, b.e, coalesce(m.c, b.c) as c from b{k} b left join m{k} m on b.p = m.p and b.e = m.e))""")
+        steps.append(nearest(k + 1))
+    return f"""
+        with k as (select row_number() over (order by vec_id, embedding) as i, vec_id, label, list_transform(embedding, lambda y: floor(1024 * cast(y as double))) as v
+                   from embeddings where embedding is not null and list_bool_and(list_transform(embedding, lambda y: y is not null and isfinite(y)))),
+        p as (select i, p, x, list_dot_product(x, x) as xx from (select i, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] as x from k, unnest(range(4)) as t(p))),
+        b0 as (select p, i - 1 as e, x as c, xx as cc from p where i <= 256),
+        {", ".join(steps)},
+        h as (select sha256(string_agg(cast(cast(c[j] as bigint) as varchar), ',' order by p, e, j)) as s from b{rounds}, unnest(range(1, len(c) + 1)) as t(j)),
+        o as (select i, string_agg(printf('%02x', cast(e as bigint)), '' order by p) as code, cast(sum(d) as bigint) as error from n{rounds} group by i)
+        select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, h.s as codebooks_sha256 from o join k using (i), h"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -101,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_ngram_quality_rules,
         op10_exact_top_k,
+        op13_vector_codes,
         quality_base_counts,
     )
 }
@@ -126,4 +157,5 @@ ORACLES: dict[str, str] = {
               from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id and len(q.v) = len(c.v))
         select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
         from s qualify rank <= 20""",
+    "op13_vector_codes": vector_codes_sql(),
 }
