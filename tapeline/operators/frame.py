@@ -134,16 +134,3 @@ def month_windows(ranges: DataFrame) -> DataFrame:
     return ranges.where(F.coalesce(bad.cast("string"), F.lit("")) == "").select("start", "end", months).select(
         F.greatest("start", "month").cast("date").alias("window_start"), F.least("end", F.last_day("month")).alias("window_end")
     )
-
-
-def chunks(df: DataFrame, size: int, by: str = "symbol") -> DataFrame:
-    """chunk: rows in order, size to a chunk. For lists of symbols (one window over them all)."""
-    w = Window.orderBy(by)
-    return df.withColumn("chunk", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
-
-
-def workers(df: DataFrame, count: int, by: str = "symbol") -> DataFrame:
-    """worker: equal runs of ceil(n / count) rows in order; the last may be shorter. For lists of symbols."""
-    w = Window.orderBy(by)
-    n = F.count("*").over(Window.partitionBy())
-    return df.withColumn("worker", F.floor((F.row_number().over(w) - 1) / F.ceil(n / F.lit(count))).cast("int"))

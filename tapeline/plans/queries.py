@@ -13,6 +13,7 @@ from tapeline.operators import detectors as det
 from tapeline.operators import frame as fr
 from tapeline.operators import indicators as ind
 from tapeline.operators import scan
+from tapeline.operators.numbering import chunk_numbers, worker_numbers
 from tapeline.plans import detector_sql as ds
 from tapeline.sources.bars import DAILY_SQL, INTRADAY_SQL, daily_bars, intraday_bars
 from tapeline.streaming.quotes import publish_rows
@@ -501,12 +502,12 @@ def raw_bar_parts(spark, sf_dir):
 
 @query(f"select symbol, cast(floor((row_number() over (order by symbol) - 1) / 7) as integer) as chunk from (select distinct symbol from ({_WANTED_SQL}))")
 def chunk_symbols(spark, sf_dir):
-    return fr.chunks(_wanted(spark, sf_dir).distinct(), 7)
+    return chunk_numbers(_wanted(spark, sf_dir).distinct(), 7)
 
 
 @query(f"select symbol, cast(floor((row_number() over (order by symbol) - 1) / ceil(count(*) over () / 10.0)) as integer) as worker from (select distinct symbol from ({_WANTED_SQL}))")
 def worker_split(spark, sf_dir):
-    return fr.workers(_wanted(spark, sf_dir).distinct(), 10)
+    return worker_numbers(_wanted(spark, sf_dir).distinct(), 10)
 
 
 @query(f"with {ds.BARS}, m as (select *, {ds.mean('close', 5)} as ma_5, {ds.mean('close', 20)} as ma_20 from b), x as (select symbol, time, ma_5, ma_20, lag(ma_5) over ({ds.ORDER}) as p5, lag(ma_20) over ({ds.ORDER}) as p20 from m) select symbol, time, round(ma_5, 6) as ma_5, round(ma_20, 6) as ma_20 from x where ma_5 > ma_20 and p5 <= p20")
