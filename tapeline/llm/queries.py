@@ -88,6 +88,12 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tapeline.llm.target_resampling import target_resample
+
+    return target_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tapeline.llm.vector_codes import vector_codes
 
@@ -131,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_ngram_quality_rules,
         op10_exact_top_k,
+        op12_target_resampling,
         op13_vector_codes,
         quality_base_counts,
     )
