@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tapeline.llm.common import materialize
 
 #: Bytes of text in a chunk (one text of more is cut between words).
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 #: Bytes of text whose n-grams one part of the dictionary has on average.
 PART = 8 << 20
 BUCKETS = 10_000
@@ -51,6 +51,10 @@ def split(data: bytes, n: int) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(flat[flat != 10])])
 
 
+def hashes(values: pa.Array) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, values.to_numpy(zero_copy_only=False)), np.int64, len(values))
+
+
 def zip_bytes(data: bytes) -> bytes:
     return pa.compress(data, "zstd", asbytes=True) + len(data).to_bytes(8, "little")
 
@@ -126,6 +130,16 @@ def chunked(docs: DataFrame) -> DataFrame:
     return materialize(docs.mapInArrow(run, CHUNK_SHAPE), "chunks")
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys in ascending order, and the place of each key among them."""
+    coded = pa.array(keys).dictionary_encode()  # by hashing; only the different ones are sorted
+    known = coded.dictionary.to_numpy()
+    order = np.argsort(known)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    return known[order], rank[coded.indices.to_numpy()]
+
+
 class Grams:
     """The distinct runs of one, two and three words of a chunk, and where each occurrence is.
 
@@ -144,23 +158,20 @@ class Grams:
         fresh = place >= np.asarray(lead, np.int64)[self.doc]
         self.ends = [np.flatnonzero(fresh & (place >= k)) for k in range(3)]  # where runs of k + 1 words end
         self.one = self.ids[self.ends[0]]
-        key = self.ids[self.ends[1] - 1] * vocabulary + self.ids[self.ends[1]]
-        self.pairs, two = np.unique(key, return_inverse=True)
-        # The run of two before each end of a run of three may lie before the piece's first own end.
-        key = self.ids[self.ends[2] - 2] * vocabulary + self.ids[self.ends[2] - 1]
-        held = np.searchsorted(self.pairs, key)
-        known = (held < len(self.pairs)) & (self.pairs[np.minimum(held, len(self.pairs) - 1)] == key) if len(self.pairs) else np.zeros(len(key), bool)
-        if not known.all():
-            self.pairs = np.union1d(self.pairs, key)
-            two, held = (np.searchsorted(self.pairs, k) for k in (self.ids[self.ends[1] - 1] * vocabulary + self.ids[self.ends[1]], key))
-        self.triples, three = np.unique(held * vocabulary + self.ids[self.ends[2]], return_inverse=True)
+        # Runs of two are numbered wherever they end, since those in a lead may begin runs of three.
+        last = np.flatnonzero(place >= 1)
+        self.pairs, number = distinct(self.ids[last - 1] * vocabulary + self.ids[last])
+        pair = np.zeros(n, np.int64)
+        pair[last] = number
+        two = pair[self.ends[1]]
+        self.triples, three = distinct(pair[self.ends[2] - 1] * vocabulary + self.ids[self.ends[2]])
         self.vocabulary = vocabulary
         self.occurrences = [self.one, two, three]
         self.counts = [np.bincount(o, minlength=m) for o, m in zip(self.occurrences, (vocabulary, len(self.pairs), len(self.triples)), strict=True)]
 
     def routes(self, parts: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For each part of the dictionary which words, runs of two and of three it is asked for."""
-        h = np.array([zlib.crc32(w) for w in self.words.to_pylist()], np.uint64)
+        h = hashes(self.words).astype(np.uint64)
         mixed = lambda x: ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(parts)
         one = mixed(h).astype(np.int64)
         two = mixed(h[self.pairs // max(self.vocabulary, 1)] * np.uint64(0xC2B2AE3D27D4EB4F) + h[self.pairs % max(self.vocabulary, 1)] + np.uint64(1)).astype(np.int64)
@@ -210,7 +221,7 @@ def dictionary(chunks: DataFrame, parts: int) -> DataFrame:
         known = pa.concat_arrays(asked).dictionary_encode()
         at = known.indices.to_numpy()
         counts = np.bincount(at, weights=np.concatenate([unzip_numbers(r["data"][4]) for r in rows]), minlength=len(known.dictionary)).astype(np.int64)
-        bucket = np.fromiter(map(zlib.crc32, known.dictionary.to_pylist()), np.int64, len(counts)) % BUCKETS  # each distinct string once
+        bucket = hashes(known.dictionary) % BUCKETS  # each distinct string once
         sums = np.zeros(BUCKETS, np.int64)
         np.add.at(sums, bucket, counts)
         got = np.split(bucket[at].astype("<u2"), np.cumsum([len(a) for a in asked])[:-1])
