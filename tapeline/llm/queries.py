@@ -88,6 +88,12 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tapeline.llm.jaccard_join import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tapeline.llm.target_resampling import target_resample
 
@@ -137,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_ngram_quality_rules,
         op10_exact_top_k,
+        op11_jaccard_join,
         op12_target_resampling,
         op13_vector_codes,
         quality_base_counts,
@@ -164,5 +171,15 @@ ORACLES: dict[str, str] = {
               from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id and len(q.v) = len(c.v))
         select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
         from s qualify rank <= 20""",
+    "op11_jaccard_join": r"""
+        with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+        k as (select doc_id, case when len(ws) = 0 then [] when len(ws) < 3 then [array_to_string(ws, ' ')]
+                     else list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) end as ks from w),
+        t as (select doc_id, len(ks) as n, unnest(ks) as s from k),
+        c as (select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as o from t a join t b on a.s = b.s and a.doc_id < b.doc_id and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) group by all),
+        l as (select a, b from c where 100 * o >= 90 * (na + nb - o)),
+        e as (select a, b from l union all select b, a from l),
+        r as (with recursive reach(x, y) as (select a, b from e union select reach.x, e.b from reach join e on reach.y = e.a) select x, min(y) as y from reach group by x)
+        select doc_id, cast(len(ks) as bigint) as n_shingles, cast(least(doc_id, coalesce(y, doc_id)) as bigint) as component_id from k left join r on x = doc_id""",
     "op13_vector_codes": vector_codes_sql(),
 }
