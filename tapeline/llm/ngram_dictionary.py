@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 from tapeline.llm.common import materialize
 
 #: Bytes of text in a chunk (one text of more is cut between words).
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Bytes of text whose n-grams one part of the dictionary has on average.
 PART = 8 << 20
 BUCKETS = 10_000
+#: How hard zstd tries.
+LEVEL = 6
 
 # Lower case for A-Z only; what separates words becomes a space.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -56,7 +58,7 @@ def hashes(values: pa.Array) -> np.ndarray:
 
 
 def zip_bytes(data: bytes) -> bytes:
-    return pa.compress(data, "zstd", asbytes=True) + len(data).to_bytes(8, "little")
+    return pa.Codec("zstd", compression_level=LEVEL).compress(data, asbytes=True) + len(data).to_bytes(8, "little")
 
 
 def unzip_bytes(data: bytes) -> bytes:
@@ -148,33 +150,31 @@ class Grams:
     """
 
     def __init__(self, words: bytes, ids: bytes, ends: list[int], lead: list[int]):
-        self.ids = unzip_numbers(ids)
-        vocabulary = int(self.ids.max(initial=-1)) + 1
+        one = unzip_numbers(ids).astype(np.int32)
+        vocabulary = int(one.max(initial=-1)) + 1
         self.words = split(words, vocabulary)
-        n, ends = len(self.ids), np.asarray(ends, np.int64)
-        starts = np.append(0, ends[:-1])
-        self.doc = np.repeat(np.arange(len(ends)), ends - starts)
-        place = np.arange(n) - starts[self.doc]
-        fresh = place >= np.asarray(lead, np.int64)[self.doc]
-        self.ends = [np.flatnonzero(fresh & (place >= k)) for k in range(3)]  # where runs of k + 1 words end
-        self.one = self.ids[self.ends[0]]
+        n, ends = len(one), np.asarray(ends, np.int32)
+        starts = np.append(0, ends[:-1]).astype(np.int32)
+        self.doc = np.repeat(np.arange(len(ends), dtype=np.int32), ends - starts)
+        place = np.arange(n, dtype=np.int32) - starts[self.doc]
+        fresh = place >= np.asarray(lead, np.int32)[self.doc]
+        self.ends = [np.flatnonzero(fresh & (place >= k)).astype(np.int32) for k in range(3)]  # where runs of k + 1 words end
+        behind = place[1:] >= 1
+        del place, fresh
         # Runs of two are numbered wherever they end, since those in a lead may begin runs of three.
-        last = np.flatnonzero(place >= 1)
-        self.pairs, number = distinct(self.ids[last - 1] * vocabulary + self.ids[last])
-        pair = np.zeros(n, np.int64)
-        pair[last] = number
-        two = pair[self.ends[1]]
-        self.triples, three = distinct(pair[self.ends[2] - 1] * vocabulary + self.ids[self.ends[2]])
+        pair = np.zeros(n, np.int32)
+        self.pairs, pair[1:][behind] = distinct((one[:-1].astype(np.int64) * vocabulary + one[1:])[behind])
+        self.triples, three = distinct(pair[self.ends[2] - 1].astype(np.int64) * vocabulary + one[self.ends[2]])
         self.vocabulary = vocabulary
-        self.occurrences = [self.one, two, three]
+        self.occurrences = [one[self.ends[0]], pair[self.ends[1]], three]
         self.counts = [np.bincount(o, minlength=m) for o, m in zip(self.occurrences, (vocabulary, len(self.pairs), len(self.triples)), strict=True)]
 
     def routes(self, parts: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For each part of the dictionary which words, runs of two and of three it is asked for."""
         h = hashes(self.words).astype(np.uint64)
         mixed = lambda x: ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(parts)
-        one = mixed(h).astype(np.int64)
-        two = mixed(h[self.pairs // max(self.vocabulary, 1)] * np.uint64(0xC2B2AE3D27D4EB4F) + h[self.pairs % max(self.vocabulary, 1)] + np.uint64(1)).astype(np.int64)
+        one = mixed(h).astype(np.int32)
+        two = mixed(h[self.pairs // max(self.vocabulary, 1)] * np.uint64(0xC2B2AE3D27D4EB4F) + h[self.pairs % max(self.vocabulary, 1)] + np.uint64(1)).astype(np.int32)
         three = two[self.triples // max(self.vocabulary, 1)]
         return list(zip(*[_by_part(x, parts) for x in (one, two, three)], strict=True))
 
@@ -190,8 +190,8 @@ class Grams:
 
 
 def _by_part(part: np.ndarray, parts: int) -> list[np.ndarray]:
-    order = np.argsort(part, kind="stable")
-    return np.split(order, np.searchsorted(part[order], np.arange(1, parts)))
+    order = np.argsort(part, kind="stable").astype(np.int32)
+    return np.split(order, np.cumsum(np.bincount(part, minlength=parts))[:-1])
 
 
 def strings(sizes: list[int], data: list[bytes]) -> pa.Array:
@@ -208,7 +208,7 @@ def dictionary(chunks: DataFrame, parts: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shape = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), ("sizes", pa.list_(pa.int64())), ("data", pa.list_(pa.binary()))])
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
                 g = Grams(r["words"], r["ids"], r["ends"], r["lead"])
                 for part, route in enumerate(g.routes(parts)):
                     if any(map(len, route)):
