@@ -1,4 +1,4 @@
-"""python -m tapeline import {daily,index-daily,minute,minute-s3} FOLDER --lake LAKE"""
+"""python -m tapeline import {daily,index-daily,minute,minute-s3} FOLDER --lake LAKE [--new]"""
 
 from __future__ import annotations
 
@@ -17,11 +17,13 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("folder")
     load.add_argument("--lake", required=True)
     load.add_argument("--part-rows", type=int, default=PART_ROWS, help="rows of a file of minute bars at most")
+    load.add_argument("--new", action="store_true", help="only files that came since the last such import, by a stream that ends; for a scheduler")
     args = parser.parse_args(argv)
     if args.kind == "minute-s3" and not args.lake.startswith(("s3a://", "s3://")):
         parser.error("minute-s3 writes to a lake at s3a://")
     spark = SparkSession.builder.appName("tapeline").getOrCreate()
-    print(Lake(spark, args.lake, args.part_rows).import_files(args.kind.removesuffix("-s3"), args.folder))
+    lake = Lake(spark, args.lake, args.part_rows)
+    print((lake.import_stream if args.new else lake.import_files)(args.kind.removesuffix("-s3"), args.folder))
 
 
 if __name__ == "__main__":

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import queue
 import threading
 from collections.abc import Callable, Iterable
 from dataclasses import replace
@@ -18,9 +17,10 @@ from tapeline.operators import scan
 from tapeline.operators.frame import between_dates
 from tapeline.operators.report import notify, report
 from tapeline.plans.jobs import Job, Jobs
-from tapeline.plans.schedule import Schedule
 from tapeline.sources.lake import Lake
-from tapeline.sources.readers import BarSource, ChunkedSource, FallbackSource, Request, only_symbols
+from tapeline.sources.readers import BarSource, FallbackSource, answer_of, only_symbols
+from tapeline.sources.request import Request
+from tapeline.sources.service import Answer, months
 from tapeline.streaming.quotes import QuoteLoop
 
 
@@ -32,7 +32,6 @@ class Engine:
         self.quotes: QuoteLoop | None = None
         #: One sync at a time, whoever asks for it.
         self.syncing = threading.Lock()
-        self.schedule: Schedule | None = None
 
     def health(self) -> dict:
         """Whether the session answers and the lake's folder can be reached."""
@@ -50,74 +49,61 @@ class Engine:
         with self.syncing:
             end = end or dt.date.today()
             start = start or (self.lake.next_start(table, end) if incremental else end)
-            if incremental and start > end:
-                return {"rows": 0, "partitions": 0, "failures": []}
-            bars, failures = self._fetch(Request(tuple(symbols), start, end, period))
-            out = self.lake.write(table, bars)
-            self.lake.set_watermark(table, end)
-            return out | {"failures": failures}
-
-    def _fetch(self, request: Request) -> tuple[DataFrame, list[tuple[str, str]]]:
-        """The bars and the symbols that failed, with why. Sources that answer requests of bounded size
-        (bounded = True) are asked in chunks, as the settings say."""
-        if not getattr(self.source, "bounded", False):
-            return self.source.fetch(self.spark, request), []
+            # What an earlier sync could not get is asked for first, range by range.
+            late = self.lake.missed(table) if incremental else []
+            asked = [Request(tuple(sorted(s for s, a, b in late if (a, b) == span)), *span, period) for span in sorted({(a, b) for _, a, b in late})]
+            if not (incremental and start > end):
+                asked.append(Request(tuple(symbols), start, end, period))
+            out = {"rows": 0, "partitions": 0, "failures": []}
+            for request in asked:
+                got = self._commit(table, request)
+                out = {k: out[k] + got[k] for k in out}
+            if not (incremental and start > end):
+                self.lake.set_watermark(table, end)
+            return out
+
+    def _commit(self, table: str, request: Request) -> dict:
+        """Fetch and merge one request's bars; symbols that failed are noted with the range, for a later sync."""
+        got = self._fetch(request)
+        out = self.lake.write(table, got.bars)
+        failures = [tuple(r) for r in got.failures.select("symbol", "reason").orderBy("symbol").collect()]  # no more than were asked
+        self.lake.note_missed(table, request.symbols, request.start, request.end, dict(failures))
+        return out | {"failures": failures}
+
+    def _fetch(self, request: Request) -> Answer:
+        """The bars, and the symbols that failed with why. Chunks are as large and as many at once as the settings say."""
         sizes = self.config.daily if request.period.daily else self.config.minute
-        chunked = ChunkedSource(self.source, sizes.chunk_size, sizes.fetch_concurrency)
-        return chunked.fetch(self.spark, request), chunked.failures
+        return answer_of(self.source, self.spark, request, sizes.chunk_size, sizes.fetch_concurrency)
 
     def sync_daily(self, symbols: Iterable[str], start: dt.date | None = None, end: dt.date | None = None, incremental: bool = False) -> dict:
-        """Fetch daily bars (today's by default) and merge them into the lake; the mark moves when the data is committed."""
+        """Fetch daily bars (today's by default) and merge them into the lake; the mark moves when the data is committed.
+
+        Symbols that failed do not hold the mark back: they are kept in a table of the lake with their
+        range, and the next incremental sync asks for them first.
+        """
         return self._sync("daily_bars", symbols, start, end, sc.Period.D1, incremental)
 
     def sync_minute(self, symbols: Iterable[str], start: dt.date | None = None, end: dt.date | None = None, incremental: bool = False) -> dict:
         return self._sync("minute_bars_1m", symbols, start, end, sc.Period.M1, incremental)
 
-    def sync_months(self, symbols: Iterable[str], start: dt.date, end: dt.date, ahead: int = 8) -> list[dict]:
+    def sync_months(self, symbols: Iterable[str], start: dt.date, end: dt.date) -> list[dict]:
         """A long range of daily bars, fetched and committed month by month.
 
-        Fetched months wait in a queue of at most `ahead`; a fetch stops until there is room. The mark
-        follows each month that is committed, so an incremental sync goes on behind the last one.
+        The mark follows each month that is committed, so an incremental sync goes on behind the last
+        one. A month's requests run side by side in the executors.
         """
         if self.source is None:
             raise ValueError("no bar source is configured")
-        symbols, waiting, done, failed = tuple(symbols), queue.Queue(max(1, ahead)), [], []
-
-        def write() -> None:
-            while (item := waiting.get()) is not None:
-                if not failed:
-                    try:
-                        last, (bars, failures) = item
-                        done.append(self.lake.write("daily_bars", bars) | {"until": last, "failures": failures})
-                        self.lake.set_watermark("daily_bars", last)
-                    except Exception as e:
-                        failed.append(e)
-
+        symbols, done = tuple(symbols), []
         with self.syncing:
-            writer = threading.Thread(target=write, daemon=True)
-            writer.start()
-            try:
-                first = start
-                while first <= end and not failed:
-                    last = min(end, (first.replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1))
-                    waiting.put((last, self._fetch(Request(symbols, first, last))))
-                    first = last + dt.timedelta(days=1)
-            finally:
-                waiting.put(None)
-                writer.join()
-        if failed:
-            raise failed[0]
+            for first, last in months(start, end):
+                done.append(self._commit("daily_bars", Request(symbols, first, last)) | {"until": last})
+                self.lake.set_watermark("daily_bars", last)
         return done
 
-    def start_schedule(self, symbols: Callable[[], Iterable[str]]) -> Schedule:
-        """Today's daily and minute bars at the times of the settings, until the schedule is stopped.
-        A sync that fails is noted and tried again at its next time."""
-        today = lambda: dt.datetime.now(self.schedule.zone).date()
-        work = {self.config.daily_cron: lambda: self.sync_daily(symbols(), today(), today()), self.config.minute_cron: lambda: self.sync_minute(symbols(), today(), today())}
-        if self.schedule is None or not self.schedule.running:
-            self.schedule = Schedule(work, self.config.time_zone)
-            self.schedule.start()
-        return self.schedule
+    def import_new(self, kind: str, folder: str, checkpoint: str | None = None) -> dict:
+        """Files that came since the last call, each once; for a scheduler outside to start."""
+        return self.lake.import_stream(kind, folder, checkpoint)
 
     # Queries
 
@@ -152,7 +138,7 @@ class Engine:
         if refresh:
             if self.source is None or not symbols:
                 raise ValueError("a refresh needs a bar source and symbols")
-            return self._fetch(Request(tuple(symbols), start, end, sc.Period.D1, sc.Adjust.parse(self.config.adjust)))[0]
+            return self._fetch(Request(tuple(symbols), start, end, sc.Period.D1, sc.Adjust.parse(self.config.adjust))).bars
         df = self.lake.read("daily_bars")
         months = F.concat(F.col("year"), F.col("month"))
         df = between_dates(df.where(months.between(f"{start:%Y%m}", f"{end:%Y%m}")), *self._ends(df, start, end))

@@ -180,6 +180,7 @@ ORACLES: dict[str, str] = {
         l as (select a, b from c where 100 * o >= 90 * (na + nb - o)),
         e as (select a, b from l union all select b, a from l),
         r as (with recursive reach(x, y) as (select a, b from e union select reach.x, e.b from reach join e on reach.y = e.a) select x, min(y) as y from reach group by x)
-        select doc_id, cast(len(ks) as bigint) as n_shingles, cast(least(doc_id, coalesce(y, doc_id)) as bigint) as component_id from k left join r on x = doc_id""",
+        select doc_id, cast(len(ks) as bigint) as n_shingles, cast(least(doc_id, coalesce(y, doc_id)) as bigint) as component_id,
+               case when len(ks) = 0 then 1 else count(*) over (partition by list_sort(ks)) end as class_size from k left join r on x = doc_id""",
     "op13_vector_codes": vector_codes_sql(),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -81,6 +82,27 @@ REASONS: dict[str, Callable[[Column], list[tuple]]] = {
 }
 
 
+#: What stands for a value in a reason.
+PLACE = re.compile(r"%(?:%|d|s|\.(\d)f)")
+
+
+def fixed(x: Column, digits: int) -> Column:
+    """A number with so many digits, rounded by its exact binary value as printed numbers usually are
+    (format_string rounds the shortest decimal form instead: 2.675 would become 2.68)."""
+    return F.replace(F.format_number(x, digits), F.lit(","), F.lit(""))
+
+
+def reason(template: str, values: list[Column]) -> Column:
+    """The template with its values; a null one makes it null."""
+    rest, shown = iter(values), []
+    for m in PLACE.finditer(template):
+        if m[0] != "%%":
+            value = next(rest)
+            shown.append(fixed(value, int(m[1])) if m[1] else value)
+    text = PLACE.sub(lambda m: "%s" if m[1] else m[0], template)
+    return F.format_string(text, *shown) if shown else F.lit(text.replace("%%", "%"))
+
+
 def whole(pattern_id: str, e: Column, names: list[str]) -> Column:
     """The evidence struct e (with fields names) of a built-in pattern with all that belongs to it; others as they are."""
     fields = {n: e[n] for n in names}
@@ -98,5 +120,5 @@ def whole(pattern_id: str, e: Column, names: list[str]) -> Column:
             e["price"].alias("anti_body_price"), above.alias("close_above_ma5"), F.lit(True).alias("post_confirmation_stable"),
         )
     if pattern_id in REASONS:
-        fields["reasons"] = F.array(*[F.format_string(text, *values) if values else F.lit(text) for text, *values in REASONS[pattern_id](e)])
+        fields["reasons"] = F.array(*[reason(text, values) for text, *values in REASONS[pattern_id](e)])
     return F.struct(*[x.alias(n) for n, x in fields.items()])

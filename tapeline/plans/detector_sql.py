@@ -93,8 +93,21 @@ p as materialized (
     from ind)"""
 
 
+#: Digits of the values that r() gives; None gives them as they are.
+_digits: list[int | None] = [6]
+
+
 def r(x: str) -> str:
-    return f"round({x}, 6) + 0.0"
+    return f"({x}) + 0.0" if _digits[-1] is None else f"round({x}, {_digits[-1]}) + 0.0"
+
+
+def exact(d: det.Detector) -> str:
+    """A detector's SQL with unrounded values, for texts that are printed from them."""
+    _digits.append(None)
+    try:
+        return BUILDERS[d.id](d)
+    finally:
+        _digits.pop()
 
 
 def first_of(options: list[tuple[str, dict[str, str]]]) -> str:

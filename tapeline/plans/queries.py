@@ -519,4 +519,4 @@ def ma_cross_signals(spark, sf_dir):
 entry = partial(scan_market_all)
 
 
-from tapeline.plans import store_queries  # noqa: E402, F401  adds its queries to the registry above
+from tapeline.plans import evidence_queries, service_queries, store_queries  # noqa: E402, F401  they add their queries to the registry above

@@ -11,11 +11,8 @@ from pyspark.sql import functions as F
 from tapeline.config import Config
 from tapeline.engine import Engine
 from tapeline.functions import scalars as sc
-from tapeline.operators import detectors as det
 from tapeline.operators import frame as fr
-from tapeline.operators import scan
-from tapeline.plans import detector_sql as ds
-from tapeline.plans.queries import _SYMBOLS_SQL, _ready, _symbols, query
+from tapeline.plans.queries import _SYMBOLS_SQL, _symbols, query
 from tapeline.sources import readers
 from tapeline.sources.bars import DAILY_SQL, INTRADAY_SQL, daily_bars, intraday_bars
 from tapeline.sources.lake import Lake
@@ -160,34 +157,6 @@ def texts_to_dates_and_names(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", sc.date_from_text(raw).alias("day"), sc.output_id(path, k % 1000).alias("output"))
 
 
-def _field(name: str, kind: str = "string"):
-    return F.get_json_object("evidence", f"$.{name}").cast(kind).alias(name)
-
-
-@query(f"""
-    select symbol, strftime(time, '%Y-%m-%d') as time, strftime(key_date, '%Y-%m-%d') as key_date, '涨停日' as key_date_type, strftime(key_date, '%Y-%m-%d') as limit_up_date,
-           pullback_days, volume_ratio, has_lower_close, 3 as reasons, concat('pullback of ', pullback_days, ' days within a range of ', printf('%.2f', pullback_range * 100), '%') as reason
-    from ({ds.limit_up_pullback(det.LimitUpPullback())})""")
-def evidence_of_pullbacks(spark, sf_dir):
-    found = scan.signals(_ready(spark, sf_dir), [det.LimitUpPullback()], latest_only=False)
-    return found.select(
-        "symbol", F.col("time").cast("string").alias("time"), _field("key_date"), _field("key_date_type"), _field("limit_up_date"), _field("pullback_days", "int"),
-        F.round(_field("volume_ratio", "double"), 6).alias("volume_ratio"), _field("has_lower_close", "boolean"), F.json_array_length(F.get_json_object("evidence", "$.reasons")).alias("reasons"),
-        F.get_json_object("evidence", "$.reasons[1]").alias("reason"),
-    )
-
-
-@query(f"""
-    select symbol, strftime(time, '%Y-%m-%d') as time, strftime(signal_date, '%Y-%m-%d') as key_date, 'today_macd_today_boll' as pattern_type, dif, ma5, 1 as reasons
-    from ({ds.trend_start(det.TrendStart())})""")
-def evidence_of_trend_starts(spark, sf_dir):
-    found = scan.signals(_ready(spark, sf_dir), [det.TrendStart()], latest_only=False)
-    return found.select(
-        "symbol", F.col("time").cast("string").alias("time"), _field("key_date"), _field("pattern_type"), F.round(_field("dif", "double"), 6).alias("dif"),
-        F.round(_field("ma5", "double"), 6).alias("ma5"), F.json_array_length(F.get_json_object("evidence", "$.reasons")).alias("reasons"),
-    )
-
-
 @query(f"""
     select symbol, exchange, strftime(time, '%Y-%m-%d') as time, round(open, 6) as open, round(close, 6) as close, volume, cast(null as double) as amount, 1.0::double as adj_factor,
            cast(null as double) as settle, 'derived' as source from ({DAILY_SQL})""")

@@ -12,7 +12,7 @@ import json
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,7 @@ PART_ROWS = 200_000
 MOST_LISTED = 50_000
 #: Rows of a Parquet row group.
 GROUP_ROWS = 131_072
+TABLES = {"daily": "daily_bars", "index-daily": "index_daily_bars", "minute": "minute_bars_1m"}
 PARTITIONS = {"daily_bars": ["exchange", "year", "month"], "index_daily_bars": ["exchange", "year", "month"], "minute_bars_1m": ["trade_date", "exchange"]}
 #: How rows lie in a file, for skipping by minima and maxima.
 SORT = {"daily_bars": ["time", "symbol"], "index_daily_bars": ["time", "symbol"], "minute_bars_1m": ["symbol", "time"]}
@@ -31,6 +32,9 @@ SORT = {"daily_bars": ["time", "symbol"], "index_daily_bars": ["time", "symbol"]
 ALIASES = {"turnover": "amount", "turn_over": "amount", "adj_factor": "factor", "turn_over_rate": "turnover_rate", "openInterest": "open_interest"}
 
 
+MISSED = "symbol string, start date, end date, reason string"
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str, part_rows: int = PART_ROWS):
         self.spark, self.root, self.part_rows = spark, root.rstrip("/"), part_rows
@@ -97,24 +101,21 @@ class Lake:
         rows = rows.drop("_new")
         out = rows.repartition(*by).sortWithinPartitions(*by, *SORT[table])
         # The merge reads the partitions that it replaces, so it is whole in the staging folder first.
-        out.write.parquet(f"{staged}/merged")
+        seen = Observation()
+        out.observe(seen, F.count("*").alias("rows")).write.parquet(f"{staged}/merged")
         merged = self.spark.read.schema(out.schema).parquet(f"{staged}/merged")
-        count = merged.count()
+        count = seen.get["rows"]  # counted by the job that wrote them
         self.declare(table, merged.schema)
         # The staged files are dealt out and sorted already: no second shuffle, only what a task holds is put in order.
-        writer = merged.sortWithinPartitions(*by, *SORT[table]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        put = Observation()
+        writer = merged.sortWithinPartitions(*by, *SORT[table]).observe(put, F.count("*").alias("rows")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer = writer.option("maxRecordsPerFile", self.part_rows if table == "minute_bars_1m" else 0).option("parquet.block.row.count.limit", GROUP_ROWS)
         writer.option("compression", "snappy").partitionBy(*by).parquet(self.path(table))
-        self._validate(table, near, touched, count)
+        if put.get["rows"] != count:
+            raise OSError(f"{table}: {put.get['rows']} rows written instead of {count}")
         self._delete(staged)
         return {"rows": count, "partitions": n if n <= MOST_LISTED else touched.count()}
 
-    def _validate(self, table: str, near: Column, touched: DataFrame, rows: int) -> None:
-        """What was written can be read, and is all there."""
-        got = self.read(table).where(near).join(touched, PARTITIONS[table], "left_semi").count()
-        if got != rows:
-            raise OSError(f"{table}: {got} rows in the written partitions instead of {rows}")
-
     def _delete(self, path: str) -> None:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
@@ -130,22 +131,63 @@ class Lake:
         """After the data is committed."""
         self.spark.createDataFrame([(date,)], "date date").coalesce(1).write.mode("overwrite").json(f"{self.root}/_watermark/{name}")
 
+    def missed(self, name: str) -> list[tuple[str, dt.date, dt.date]]:
+        """Symbols that a sync could not get, each with the range that was asked for."""
+        path = f"{self.root}/_missed/{name}"
+        if not exists(self.spark, path):
+            return []
+        return sorted((r["symbol"], r["start"], r["end"]) for r in self.spark.read.schema(MISSED).json(path).collect())
+
+    def note_missed(self, name: str, symbols: tuple[str, ...], start: dt.date, end: dt.date, failed: dict[str, str]) -> None:
+        """After a request: those of its symbols that failed are missed, the others' ranges within it no longer."""
+        asked, path = set(symbols), f"{self.root}/_missed/{name}"
+        old = [tuple(r) for r in self.spark.read.schema(MISSED).json(path).collect()] if exists(self.spark, path) else []
+        rest = [m for m in old if not (m[0] in asked and start <= m[1] and m[2] <= end)]
+        new = rest + [(s, start, end, why) for s, why in sorted(failed.items())]
+        if sorted(new) != sorted(old):
+            self.spark.createDataFrame(new, MISSED).coalesce(1).write.mode("overwrite").json(path)
+
     def next_start(self, name: str, default: dt.date) -> dt.date:
         last = self.watermark(name)
         return default if last is None else last + dt.timedelta(days=1)
 
+    def _rows(self, kind: str, paths: list[str]) -> DataFrame:
+        """Typed rows of CSV and ZIP files."""
+        zips, plain = [p for p in paths if p.lower().endswith(".zip")], [p for p in paths if p.lower().endswith(".csv")]
+        parts = ([read_csv(self.spark, plain, kind)] if plain else []) + ([read_zip(self.spark, zips, kind)] if zips else [])
+        return reduce(DataFrame.unionByName, parts)
+
     def import_files(self, kind: str, folder: str) -> dict[str, int]:
         """Import CSV and ZIP files that the manifest has not; append to it when all is written."""
-        table = {"daily": "daily_bars", "index-daily": "index_daily_bars", "minute": "minute_bars_1m"}[kind]
+        table = TABLES[kind]
         manifest = Manifest(self.spark, f"{self.root}/_manifest/{kind}")
         found = manifest.new(files(self.spark, folder, "*.{csv,CSV,zip,ZIP}"))
         paths = [r["path"] for r in found.select("path").collect()]
         if not paths:
             return {"rows": 0, "partitions": 0, "files": 0}
-        zips, plain = [p for p in paths if p.lower().endswith(".zip")], [p for p in paths if p.lower().endswith(".csv")]
-        parts = ([read_csv(self.spark, plain, kind)] if plain else []) + ([read_zip(self.spark, zips, kind)] if zips else [])
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        rows = self._rows(kind, paths)
         done = self.spark.createDataFrame(found.collect(), found.schema)
         out = self.write(table, rows)
         manifest.add(done)
         return out | {"files": len(paths)}
+
+    def import_stream(self, kind: str, folder: str, checkpoint: str | None = None) -> dict[str, int]:
+        """Import the CSV and ZIP files that came since the last call: a file stream that takes what is there
+        and ends. Its checkpoint (in the lake unless given) is the mark of what is imported.
+
+        A file is imported once: a batch is done when its rows are committed; one that failed is merged
+        again as a whole, which leaves the same rows. Start it from any scheduler, one at a time.
+        """
+        table = TABLES[kind]
+        done: list[dict[str, int]] = []
+        schema = "path string, modificationTime timestamp, length long, content binary"
+        found = self.spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.{csv,CSV,zip,ZIP}").option("recursiveFileLookup", "true").load(folder)
+
+        def batch(df: DataFrame, _: int) -> None:
+            paths = [r["path"] for r in df.select("path").collect()]  # names alone; contents are read by tasks
+            if paths:
+                done.append(self.write(table, self._rows(kind, paths)) | {"files": len(paths)})
+
+        writer = found.writeStream.option("checkpointLocation", checkpoint or f"{self.root}/_imports/{kind}").foreachBatch(batch)
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return {k: sum(d[k] for d in done) for k in ("rows", "partitions", "files")}

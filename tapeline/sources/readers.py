@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import io
-import sys
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -18,6 +17,9 @@ from pyspark.sql import functions as F
 
 from tapeline.functions import scalars as sc
 from tapeline.operators import frame as fr
+from tapeline.sources.request import Request
+from tapeline.sources.scratch import scratch
+from tapeline.sources.service import Answer, PagedSource, RemoteSource, kline, no_failures  # noqa: F401
 
 # The positional columns of the CSV layouts.
 DAILY_CSV = ["symbol", "time", "open", "high", "low", "close", "volume", "turnover", "factor", "prev_close", "avg_price", "high_limit", "low_limit", "turnover_rate", "amp_rate", "quote_rate", "is_paused", "is_st"]
@@ -28,25 +30,6 @@ ORDER = ["source_file", "source_part", "source_row"]
 LAYOUTS = {"daily": (DAILY_CSV, 10), "index-daily": (INDEX_CSV, 10), "minute": (MINUTE_CSV, 19)}
 
 
-@dataclass(frozen=True)
-class Request:
-    """What bars to fetch."""
-
-    symbols: tuple[str, ...]
-    start: dt.date
-    end: dt.date
-    period: sc.Period = sc.Period.D1
-    adjust: sc.Adjust = sc.Adjust.NONE
-    fill_data: bool = True
-    disable_download: bool = False
-
-    def __post_init__(self):
-        if not self.symbols:
-            raise ValueError("symbols are empty")
-        if self.start > self.end:
-            raise ValueError("start is after end")
-
-
 class BarSource(Protocol):
     """A place that bars come from: a frame with the K-line columns, filtered to the request."""
 
@@ -85,27 +68,6 @@ class ParquetSource:
         return only_symbols(fr.between_dates(df, start, end), request.symbols)
 
 
-RESPONSE = "symbol string, bars array<struct<time_ms:bigint,open:double,high:double,low:double,close:double,volume:bigint,amount:double>>"
-
-
-@dataclass(frozen=True)
-class RemoteSource:
-    """Bars of a service: ask(request) gives a dict with status, message and items, each item a dict of a
-    symbol and its bars (time_ms and numbers). A status other than 0 is an error."""
-
-    ask: Callable[[Request], dict]
-    bounded = True
-
-    def fetch(self, spark: SparkSession, request: Request) -> DataFrame:
-        got = self.ask(request)
-        if got.get("status", 0) != 0:
-            raise OSError(f"the source answered {got['status']}: {got.get('message') or 'no reason'}")
-        fields = ("time_ms", "open", "high", "low", "close", "volume", "amount")
-        number = lambda f, x: None if x is None else int(x) if f in ("time_ms", "volume") else float(x)
-        items = [(i["symbol"], [tuple(number(f, b.get(f)) for f in fields) for b in i.get("bars") or []]) for i in got.get("items") or []]
-        return bars_from_response(spark.createDataFrame(items, RESPONSE), request.period)
-
-
 @dataclass(frozen=True)
 class NoSource:
     """A source that is switched off: no bars, whatever is asked."""
@@ -116,25 +78,73 @@ class NoSource:
 
 @dataclass(frozen=True)
 class FallbackSource:
-    """The primary's bars, and the secondary's for symbols that the primary has none of."""
+    """The primary's bars, and the secondary's for symbols that the primary has none of; only these are
+    asked of it. A source that fails as a whole has no bars of any symbol."""
 
     primary: BarSource
     secondary: BarSource
     enabled: bool = True
 
+    @property
+    def bounded(self) -> bool:
+        return any(getattr(s, "bounded", False) for s in (self.primary, self.secondary))
+
+    def answer(self, spark: SparkSession, request: Request, size: int | None = None, tasks: int | None = None) -> Answer:
+        if not self.enabled:
+            got = answer_of(self.primary, spark, request, size, tasks)
+            return Answer(got.bars.withColumn("adjusted", F.lit(True)), got.failures)
+        first = _whole(self.primary, spark, request, size, tasks)
+        found = {r["symbol"] for r in fr.symbols(first.bars).collect()}  # no more than were asked
+        left = tuple(s for s in dict.fromkeys(request.symbols) if s not in found)
+        if not left:
+            return Answer(first.bars.withColumn("adjusted", F.lit(True)), no_failures(spark))
+        second = _whole(self.secondary, spark, replace(request, symbols=left), size, tasks)
+        columns = [c for c in first.bars.columns if c in second.bars.columns and c != "adjusted"]
+        reasons = first.failures.select("symbol", F.concat(F.lit("primary: "), "reason").alias("reason"))
+        reasons = reasons.union(second.failures.select("symbol", F.concat(F.lit("secondary: "), "reason")))
+        failed = reasons.groupBy("symbol").agg(F.array_join(F.array_sort(F.collect_set("reason")), "; ").alias("reason"))
+        bars = fr.with_fallback(first.bars.select(*columns), second.bars.select(*columns))
+        return Answer(bars, failed.join(fr.symbols(bars), "symbol", "left_anti"))
+
     def fetch(self, spark: SparkSession, request: Request) -> DataFrame:
-        first = self.primary.fetch(spark, request)
-        second = self.secondary.fetch(spark, request)
-        columns = [c for c in first.columns if c in second.columns]
-        return fr.with_fallback(first.select(*columns), second.select(*columns), self.enabled)
+        return self.answer(spark, request).bars
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    """df read once, so that what fails fails here."""
+    path = scratch(df.sparkSession, "bars")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _whole(source: BarSource, spark: SparkSession, request: Request, size: int | None, tasks: int | None) -> Answer:
+    """A source's answer; if the source fails, every symbol's failure."""
+    try:
+        got = answer_of(source, spark, request, size, tasks)
+        return Answer(_staged(got.bars), got.failures)
+    except Exception as e:
+        why = f"{type(e).__name__}: {e}".splitlines()[0]
+        return Answer(fr.empty_frame(spark), spark.createDataFrame([(s, why) for s in dict.fromkeys(request.symbols)], "symbol string, reason string"))
+
+
+def answer_of(source: BarSource, spark: SparkSession, request: Request, size: int | None = None, tasks: int | None = None) -> Answer:
+    """Bars and failures of any source. Sources that have answer() are asked by it; others that say bounded =
+    True are asked for size symbols at a time by as many threads as tasks, the rest for all at once."""
+    if hasattr(source, "answer"):
+        return source.answer(spark, request, size, tasks)
+    if not getattr(source, "bounded", False):
+        return Answer(source.fetch(spark, request), no_failures(spark))
+    chunked = ChunkedSource(source, size or 200, tasks or 8)
+    return Answer(chunked.fetch(spark, request), spark.createDataFrame(chunked.failures, "symbol string, reason string"))
 
 
 @dataclass
 class ChunkedSource:
     """Another source's bars, asked for `size` symbols at a time by `concurrency` threads.
 
-    For sources that answer requests of bounded size. A chunk that fails is asked for in halves,
-    down to a symbol; a symbol that fails alone is noted in failures and left out.
+    For sources that make plans of bounded requests in the driver; services are better asked by
+    executors (RemoteSource). A chunk is read at once, so a chunk that fails, also while it is read, is
+    asked for in halves, down to a symbol; a symbol that fails alone is noted in failures and left out.
     """
 
     source: BarSource
@@ -145,10 +155,10 @@ class ChunkedSource:
     def fetch(self, spark: SparkSession, request: Request) -> DataFrame:
         def ask(symbols: tuple[str, ...]) -> list[DataFrame]:
             try:
-                return [self.source.fetch(spark, replace(request, symbols=symbols))]
+                return [_staged(self.source.fetch(spark, replace(request, symbols=symbols)))]
             except Exception as e:
                 if len(symbols) == 1:
-                    self.failures.append((symbols[0], f"{type(e).__name__}: {e}"))
+                    self.failures.append((symbols[0], f"{type(e).__name__}: {e}".splitlines()[0]))
                     return []
                 half = len(symbols) // 2
                 return ask(symbols[:half]) + ask(symbols[half:])
@@ -161,67 +171,10 @@ class ChunkedSource:
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else fr.empty_frame(spark)
 
 
-@dataclass(frozen=True)
-class PagedSource:
-    """Bars of a source that gives the latest bars first, a page at a time.
-
-    page(symbol, offset, count) gives up to count bars, oldest first, that end `offset` bars before
-    the latest; a bar is a dict with time (a datetime or date) and numbers. A symbol is paged back
-    in one task until a page reaches the start or is short; bars are sorted, and of one time the
-    first stays. A symbol that fails has no bars, so a fallback or a list of missing symbols finds it.
-    """
-
-    page: Callable[[str, int, int], list[dict]]
-    count: int = 800
-    tasks: int = 8
-
-    def bars_of(self, symbol: str, start: dt.date) -> list[dict]:
-        day = lambda b: b["time"].date() if isinstance(b["time"], dt.datetime) else b["time"]
-        found, offset = [], 0
-        while got := self.page(symbol, offset, self.count):
-            found += got
-            offset += len(got)
-            if len(got) < self.count or day(got[0]) <= start:
-                break
-        by_time: dict = {}
-        for b in found:
-            by_time.setdefault(b["time"], b)
-        return [by_time[t] for t in sorted(by_time)]
-
-    def fetch(self, spark: SparkSession, request: Request) -> DataFrame:
-        daily, numbers = request.period.daily, [f.name for f in fr.KLINE if f.dataType.simpleString() == "double"]
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for symbol in batch["symbol"]:
-                    try:
-                        bars = self.bars_of(symbol, request.start)
-                    except Exception as e:
-                        print(f"{symbol}: {type(e).__name__}: {e}", file=sys.stderr)
-                        continue
-                    rows = []
-                    for b in bars:
-                        t = b["time"] if isinstance(b["time"], dt.datetime) else dt.datetime.combine(b["time"], dt.time())
-                        if request.start <= t.date() <= request.end:
-                            text = f"{t:%Y-%m-%d}" if daily else f"{t:%Y-%m-%d %H:%M}:00"
-                            rows.append([symbol, symbol.partition(".")[2] or None, request.period.value, text, t.date(), *(b.get(n) for n in numbers), "paged"])
-                    yield pd.DataFrame(rows, columns=fr.KLINE.names).astype(dict.fromkeys(numbers, "float64"))
-
-        asked = spark.createDataFrame([(s,) for s in request.symbols], "symbol string").repartition(self.tasks, "symbol")
-        return fr.fill_frame(asked.mapInPandas(run, fr.KLINE))
-
-
 def bars_from_response(items: DataFrame, period: sc.Period) -> DataFrame:
     """K-line rows of a nested response (symbol, bars: array of structs with time_ms and numbers)."""
-    rows = items.select("symbol", F.explode("bars").alias("b"))
-    time = sc.time_from_millis(F.col("b.time_ms"), period)
-    return fr.fill_frame(
-        rows.select(
-            "symbol", sc.exchange_of(F.col("symbol")).alias("exchange"), F.lit(period.value).alias("period"), time.alias("time"), sc.trade_date_of(time).cast("date").alias("trade_date"),
-            *[F.col(f"b.{c}").cast("double").alias(c) for c in ("open", "high", "low", "close", "volume", "amount")],
-            F.lit(None).cast("double").alias("turnover_rate"), F.lit(1.0).alias("factor"), F.lit("primary").alias("source"),
-        )
-    )
+    rows = items.select("symbol", F.explode("bars").alias("b")).select("symbol", "b.*", F.lit("primary").alias("source"))
+    return kline(rows, period)
 
 
 def universe(members: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeline.functions.scalars import exchange_of, split_symbol
+from tapeline.streaming.bus import Bus, to_bus
 
 # The fields of a tick and the names they come under.
 TIME_NAMES = ["time", "timestamp", "datetime"]
@@ -117,40 +118,44 @@ def publish_rows(snapshots: DataFrame, keep: list[str] | None = None) -> DataFra
 class QuoteLoop:
     """One running query that publishes each micro-batch of snapshots; start, stop and status.
 
-    A batch whose bus is not connected calls reconnect and is published again, up to `attempts`
-    times; then the query fails, and a start from the same checkpoint takes the batch up again.
+    publish is a Bus, to which tasks send their own messages and each batch goes once; or a function of
+    a batch's rows, which must bear a batch that is published again. A bus that is not connected is
+    tried again up to `attempts` times; then the query fails, and a start from the same checkpoint
+    takes the batch up again.
     """
 
-    def __init__(self, spark: SparkSession, publish: Callable[[DataFrame], None], name: str = "whole_quote", workers: int = 10, reconnect: Callable[[], None] | None = None, attempts: int = 3, pause: float = 1.0):
-        self.spark, self.publish, self.name, self.workers = spark, publish, name, workers
+    def __init__(self, spark: SparkSession, publish: Callable[[DataFrame], None] | Bus, name: str = "whole_quote", reconnect: Callable[[], None] | None = None, attempts: int = 3, pause: float = 1.0):
+        self.spark, self.publish, self.name = spark, publish, name
         self.reconnect, self.attempts, self.pause, self.reconnects = reconnect, attempts, pause, 0
         self.query: StreamingQuery | None = None
-        self.failure: str | None = None
 
     @property
     def running(self) -> bool:
         return self.query is not None and self.query.isActive
 
+    def _batch(self, df: DataFrame, _: int) -> None:
+        for attempt in range(1, self.attempts + 1):
+            try:
+                return self.publish(df)
+            except ConnectionError:
+                if self.reconnect is None or attempt == self.attempts:
+                    raise
+                time.sleep(self.pause)
+                self.reconnect()
+                self.reconnects += 1
+
     def start(self, snapshots: DataFrame, checkpoint: str, every: str | None = "10 seconds") -> dict:
-        """snapshots: a streaming frame of symbol and tick. A batch that fails is not acknowledged and comes again after a
-        restart from the checkpoint; a trigger that is late is skipped, not made up for. every=None takes what is there
-        and stops, for schedulers."""
+        """snapshots: a streaming frame of symbol and tick, such as snapshot_stream(). A batch that fails is not
+        acknowledged and comes again after a restart from the checkpoint; a trigger that is late is skipped, not
+        made up for. every=None takes what is there and stops, for schedulers."""
         if self.running:
             return self.status()
-
-        def batch(df: DataFrame, _: int) -> None:
-            rows = publish_rows(df.repartition(self.workers))
-            for attempt in range(1, self.attempts + 1):
-                try:
-                    return self.publish(rows)
-                except ConnectionError:
-                    if self.reconnect is None or attempt == self.attempts:
-                        raise
-                    time.sleep(self.pause)
-                    self.reconnect()
-                    self.reconnects += 1
-
-        writer = snapshots.writeStream.queryName(self.name).option("checkpointLocation", checkpoint).foreachBatch(batch)
+        rows = publish_rows(snapshots)
+        if hasattr(self.publish, "stage"):
+            writer = to_bus(rows, self.publish, checkpoint, self.attempts, self.pause)
+        else:
+            writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self._batch)
+        writer = writer.queryName(self.name)
         writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
         self.query = writer.start()
         return self.status()

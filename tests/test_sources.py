@@ -16,7 +16,6 @@ from tapeline.operators import frame as fr
 from tapeline.operators import scan
 from tapeline.operators.report import notify, report
 from tapeline.plans.jobs import Jobs, NotFound
-from tapeline.plans.schedule import Schedule, next_time
 from tapeline.sources import readers
 from tapeline.sources.bars import daily_bars
 from tapeline.sources.lake import Lake
@@ -258,7 +257,7 @@ def test_months_are_committed_in_turn(spark, tmp_path):
     days = ["2026-01-30", "2026-02-02", "2026-02-27", "2026-03-02"]
     bar(spark, [("000001.SZ", d, 1.0) for d in days]).write.parquet(str(tmp_path / "src"))
     engine = Engine(spark, Config(lake=str(tmp_path / "lake")), readers.ParquetSource(str(tmp_path / "src")))
-    out = engine.sync_months(["000001.SZ"], dt.date(2026, 1, 15), dt.date(2026, 3, 10), ahead=1)
+    out = engine.sync_months(["000001.SZ"], dt.date(2026, 1, 15), dt.date(2026, 3, 10))
     assert [(x["until"], x["rows"]) for x in out] == [(dt.date(2026, 1, 31), 1), (dt.date(2026, 2, 28), 2), (dt.date(2026, 3, 10), 1)]
     assert engine.lake.watermark("daily_bars") == dt.date(2026, 3, 10) and engine.lake.read("daily_bars").count() == 4
     engine.source = readers.ParquetSource(str(tmp_path / "nowhere"))
@@ -266,32 +265,6 @@ def test_months_are_committed_in_turn(spark, tmp_path):
         engine.sync_months(["000001.SZ"], dt.date(2026, 4, 1), dt.date(2026, 5, 10))
 
 
-def test_cron_times():
-    t = dt.datetime(2026, 5, 22, 15, 30)  # a Friday
-    assert next_time("0 30 15 * * *", t) == dt.datetime(2026, 5, 23, 15, 30)
-    assert next_time("0 10,40 9-15/2 * * 1-5", t) == dt.datetime(2026, 5, 22, 15, 40)
-    assert next_time("*/20 0 0 1 1 *", t) == dt.datetime(2027, 1, 1) and next_time("0 0 12 29 2 0", t) == dt.datetime(2032, 2, 29, 12)
-    for bad in ("0 30 15 * *", "0 60 15 * * *", "0 0 0 31 2 *", "0 0 0 0 * *", "0 5-1 * * * *"):
-        with pytest.raises(ValueError):
-            next_time(bad, t)
-
-
-def test_schedule_runs_what_is_due_and_notes_failures():
-    ran = []
-    schedule = Schedule({"0 30 15 * * *": lambda: ran.append("daily"), "0 10 15 * * *": lambda: 1 / 0}, "Asia/Shanghai")
-    since = dt.datetime(2026, 5, 22, 15, 0, tzinfo=schedule.zone)
-    schedule.run_due(since, since + dt.timedelta(minutes=5))
-    assert ran == [] and schedule.errors == []
-    schedule.run_due(since, since + dt.timedelta(hours=1))
-    assert ran == ["daily"] and "ZeroDivisionError" in schedule.errors[0][1] and schedule.done == 1
-    soon = Schedule({"* * * * * *": lambda: ran.append("soon")}, "UTC")
-    soon.start()
-    assert soon.running
-    threading.Event().wait(2.5)
-    soon.stop()
-    assert "soon" in ran and not soon.running
-
-
 def test_scans_side_by_side_keep_their_own_patterns(spark):
     bars = fr.between_dates(daily_bars(spark, "/root/testdata/sf0.001"), dt.date(1995, 6, 1), dt.date(1996, 6, 28))
     ready = scan.prepared(bars).persist()
