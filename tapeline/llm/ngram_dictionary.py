@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 from tapeline.llm.common import materialize
 
 #: Bytes of text in a chunk (one text of more is cut between words).
-CHUNK = 4 << 20
+CHUNK = 6 << 20
 #: Bytes of text whose n-grams one part of the dictionary has on average.
-PART = 8 << 20
+PART = 16 << 20
 BUCKETS = 10_000
+#: Buckets whose sums are added up together.
+SLICE = 100
 #: How hard zstd tries.
 LEVEL = 6
 
@@ -54,7 +56,10 @@ def split(data: bytes, n: int) -> pa.Array:
 
 
 def hashes(values: pa.Array) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, values.to_numpy(zero_copy_only=False)), np.int64, len(values))
+    out = np.empty(len(values), np.int64)
+    for k in range(0, len(values), 1 << 16):  # Python holds one slice's strings
+        out[k : k + (1 << 16)] = np.fromiter(map(zlib.crc32, values.slice(k, 1 << 16).to_numpy(zero_copy_only=False)), np.int64)
+    return out
 
 
 def zip_bytes(data: bytes) -> bytes:
@@ -65,13 +70,15 @@ def unzip_bytes(data: bytes) -> bytes:
     return pa.decompress(data[:-8], int.from_bytes(data[-8:], "little"), "zstd", asbytes=True)
 
 
-def zip_numbers(values: np.ndarray) -> bytes:
+def zip_numbers(values: np.ndarray, kind: str = "<u4") -> bytes:
     """Numbers below 2^32; their first, second, ... bytes lie together, which compresses well."""
-    return zip_bytes(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+    width = np.dtype(kind).itemsize
+    return zip_bytes(np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, width).T).tobytes())
 
 
-def unzip_numbers(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(unzip_bytes(data), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+def unzip_numbers(data: bytes, kind: str = "<u4") -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(unzip_bytes(data), np.uint8).reshape(width, -1).T).view(kind).ravel().astype(np.int64)
 
 
 def pieces(text: str) -> Iterator[tuple[list[bytes], int]]:
@@ -216,34 +223,59 @@ def dictionary(chunks: DataFrame, parts: int) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((part, r["chunk"], sizes, data), shape, strict=True)], schema=shape)
 
     def answer(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        asked = [strings(r["sizes"], r["data"]) for r in rows]
-        known = pa.concat_arrays(asked).dictionary_encode()
-        at = known.indices.to_numpy()
-        counts = np.bincount(at, weights=np.concatenate([unzip_numbers(r["data"][4]) for r in rows]), minlength=len(known.dictionary)).astype(np.int64)
-        bucket = hashes(known.dictionary) % BUCKETS  # each distinct string once
+        asked, counts = [], []
+        for block in table.select(["sizes", "data"]).to_batches(max_chunksize=1):
+            sizes, data = block.column(0)[0].as_py(), block.column(1)[0].as_py()
+            asked.append(strings(sizes, data))
+            counts.append(unzip_numbers(data[4]))
+        sizes = [len(a) for a in asked]
+        known = pa.concat_arrays(asked)
+        asked.clear()
+        known = known.dictionary_encode()
+        at, known = known.indices.to_numpy(), known.dictionary
+        total = np.bincount(at, weights=np.concatenate(counts), minlength=len(known)).astype(np.int64)
+        bucket = hashes(known) % BUCKETS  # each distinct string once
         sums = np.zeros(BUCKETS, np.int64)
-        np.add.at(sums, bucket, counts)
-        got = np.split(bucket[at].astype("<u2"), np.cumsum([len(a) for a in asked])[:-1])
-        shape = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("buckets", pa.binary()), ("sums", pa.list_(pa.int64()))])
-        out = [{"chunk": r["chunk"], "part": r["part"], "buckets": b.tobytes(), "sums": None} for r, b in zip(rows, got, strict=True)]
-        return pa.Table.from_pylist([*out, {"chunk": None, "part": rows[0]["part"], "buckets": None, "sums": sums.tolist()}], shape)
+        np.add.at(sums, bucket, total)
+        got = [zip_numbers(b, "<u2") for b in np.split(bucket[at], np.cumsum(sizes)[:-1])]
+        part = table["part"][0].as_py()
+        shape = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("buckets", pa.binary()), ("sums", pa.binary())])
+        out = [pa.array([*table["chunk"].to_pylist(), None], pa.int64()), pa.array([part] * (len(got) + 1), pa.int64()), pa.array([*got, None], pa.binary()), pa.array([None] * len(got) + [zip_numbers(sums, "<u8")], pa.binary())]
+        return pa.Table.from_arrays(out, schema=shape)
 
     blocks = chunks.select("chunk", "words", "ids", "ends", "lead").mapInArrow(ask, "part long, chunk long, sizes array<long>, data array<binary>")
-    return materialize(blocks.groupBy("part").applyInArrow(answer, "chunk long, part long, buckets binary, sums array<long>"), "answers")
+    return materialize(blocks.groupBy("part").applyInArrow(answer, "chunk long, part long, buckets binary, sums binary"), "answers")
 
 
 def part_count(chunks: DataFrame) -> int:
     """Into how many parts a dictionary goes: by bytes of text, and a few for each shuffle partition."""
     size = chunks.agg(F.sum("bytes")).first()[0] or 0
-    return max(4 * int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART))
+    return max(2 * int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART))
 
 
 def bucket_sums(answers: DataFrame) -> list[int]:
-    """Occurrences in each bucket: as many rows as there are buckets, whatever the corpus."""
+    """Occurrences in each bucket: as many rows as there are buckets, whatever the corpus.
+
+    Tasks add up their parts; what they have is then added up a slice of buckets at a time.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for data in batch.column(0):
+                total += unzip_numbers(data.as_py(), "<u8")
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(BUCKETS // SLICE), pa.int32()), pa.array(list(total.reshape(-1, SLICE)), pa.list_(pa.int64()))], ["slice", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        at = table["slice"][0].as_py()
+        total = np.sum([np.array(x, np.int64) for x in table["sums"].to_pylist()], axis=0)
+        return pa.table({"bucket": pa.array(np.arange(SLICE) + at * SLICE, pa.int32()), "n": pa.array(total, pa.int64())})
+
+    sums = answers.where("sums is not null").select("sums").mapInArrow(task, "slice int, sums array<long>")
     out = [0] * BUCKETS
-    for r in answers.where("sums is not null").select(F.posexplode("sums").alias("bucket", "n")).groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        out[r["bucket"]] = int(r["n"])
+    for r in sums.groupBy("slice").applyInArrow(add, "bucket int, n long").collect():
+        out[r["bucket"]] = r["n"]
     return out
 
 
@@ -260,7 +292,7 @@ def weighed(chunks: DataFrame, answers: DataFrame, parts: int, gains: list[int])
         value = [np.zeros(len(c), np.int64) for c in g.counts]
         routes, gain = g.routes(parts), np.array(gains, np.int64)
         for part, buckets in zip(right["part"].to_pylist(), right["buckets"].to_pylist(), strict=True):
-            got, at = gain[np.frombuffer(buckets, "<u2")], 0
+            got, at = gain[unzip_numbers(buckets, "<u2")], 0
             for v, route in zip(value, routes[part], strict=True):
                 v[route] = got[at : at + len(route)]
                 at += len(route)
