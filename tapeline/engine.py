@@ -155,6 +155,10 @@ class Engine:
     def check_all(self, symbol: str, as_of: dt.date) -> DataFrame:
         return self.signals(as_of, None, [symbol])
 
+    def check_many(self, requests: DataFrame, history_days: int | None = None) -> DataFrame:
+        """requests (symbol, as_of, pattern_id) with matched, as check() would have it for each, in one plan."""
+        return scan.checks(requests, self.lake.read("daily_bars"), history_days)
+
     def scan_market(self, as_of: dt.date, patterns: Iterable[str] | None = None, symbols: Iterable[str] | None = None, history_days: int | None = None, wait: bool = False,
                     refresh: bool = False, on_progress: Callable[[dict], None] | None = None) -> Job:
         """A job that scans; its result has the counters, each pattern's hits and the report's lines.

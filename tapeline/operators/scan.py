@@ -45,6 +45,34 @@ def latest_signals(bars: DataFrame, chosen: Iterable[det.Detector] | None = None
     return signals(det.prepare(last, F.greatest(F.col("_n") - tail, F.lit(0))), chosen)
 
 
+#: Between a symbol and the date that a check is made as of, in the name of its own series.
+AT = "@"
+
+
+def checks(requests: DataFrame, bars: DataFrame, history_days: int | None = None) -> DataFrame:
+    """requests (symbol, as_of, pattern_id; further columns stay) with matched: whether the pattern is found at the
+    symbol's last bar up to as_of, over the bars of the history window before it.
+
+    All requests are one plan. Each symbol and date is a series of its own, made by a join of the bars
+    with the distinct dates of their symbol; requests for other patterns of one series share it. A
+    symbol without bars, or with too few, matches nothing. An unknown pattern is an error.
+    """
+    known = [r["pattern_id"] for r in requests.select("pattern_id").distinct().collect()]  # as many as there are patterns
+    chosen = [det.lookup(p) for p in known if p is not None]
+    if not chosen:
+        return requests.withColumn("matched", F.lit(False))
+    days = max(LEAST_HISTORY_DAYS, HISTORY_DAYS if history_days is None else history_days)
+    wanted = requests.select(F.upper(F.trim("symbol")).alias("of"), F.col("as_of").cast("date").alias("as_of")).dropna().distinct()
+    day = bars["time"].cast("date")
+    near = (bars["symbol"] == wanted["of"]) & day.between(F.date_sub(wanted["as_of"], days), wanted["as_of"])
+    own = F.concat_ws(AT, wanted["of"], wanted["as_of"].cast("string")).alias("symbol")
+    windows = bars.join(wanted, near).select(own, *[bars[c] for c in bars.columns if c != "symbol"])
+    found = latest_signals(windows, chosen).select(F.col("symbol").alias("series"), F.col("pattern_id").alias("found")).distinct()
+    series = F.concat_ws(AT, F.upper(F.trim("symbol")), F.col("as_of").cast("date").cast("string"))
+    out = requests.join(found, (F.col("series") == series) & (F.col("found") == F.col("pattern_id")), "left")
+    return out.select(*[requests[c] for c in requests.columns], F.col("found").isNotNull().alias("matched"))
+
+
 def evidence_frame(ready: DataFrame, detector: det.Detector) -> DataFrame:
     """History of one detector: symbol, exchange, time and the evidence as columns, where it fires."""
     ready, (found,) = det.B.apply(ready, [detector])

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from tapeline.config import Config, Sync
 from tapeline.engine import Engine
+from tapeline.operators import detectors as det
 from tapeline.operators import frame as fr
+from tapeline.operators import scan
+from tapeline.plans import detector_sql as ds
 from tapeline.plans.queries import query
 from tapeline.plans.store_queries import LAST, START
 from tapeline.sources import readers
@@ -31,13 +34,13 @@ class Shelf:
     without: tuple[int, ...] = ()
 
     def __call__(self, request: Request) -> dict:
-        import pyarrow.dataset as ds
+        import pyarrow.dataset as pds
 
         digit = lambda s: int(s[5])
         if bad := [s for s in request.symbols if digit(s) in self.failing]:
             return {"status": 5, "message": f"no answer for {bad[0]}"}
-        wanted = ds.field("symbol").isin([s for s in request.symbols if digit(s) not in self.without])
-        rows = ds.dataset(self.folder).to_table(filter=wanted & (ds.field("day") >= request.start) & (ds.field("day") <= request.end))
+        wanted = pds.field("symbol").isin([s for s in request.symbols if digit(s) not in self.without])
+        rows = pds.dataset(self.folder).to_table(filter=wanted & (pds.field("day") >= request.start) & (pds.field("day") <= request.end))
         items: dict[str, list[dict]] = {}
         for r in rows.to_pylist():
             items.setdefault(r["symbol"], []).append(r)
@@ -144,10 +147,10 @@ def import_in_drops(spark, sf_dir):
         _csv(bars.where(F.substring("time", 1, 7).isin(*months)), readers.DAILY_CSV, folder)
         counts.append(lake.import_stream("daily", folder)["files"])
     again = lake.import_stream("daily", folder)["files"]
-    month = F.concat_ws("-", "year", "month")
-    files = F.when(F.lit(again) != 0, F.lit(-1)).when(month < "1995-03", counts[0]).when(month < "1995-05", counts[1]).otherwise(counts[2])
-    rows = lake.read("daily_bars").select(month.alias("month"), F.round("close", 6).alias("close"))
-    return rows.groupBy("month").agg(F.count("*").alias("rows"), F.sum("close").alias("closes")).select("month", "rows", "closes", files.cast("int").alias("files_of_drop"))
+    files = F.when(F.lit(again) != 0, F.lit(-1)).when(F.col("month") < "1995-03", counts[0]).when(F.col("month") < "1995-05", counts[1]).otherwise(counts[2])
+    rows = lake.read("daily_bars").select(F.concat_ws("-", "year", "month").alias("month"), F.round("close", 6).alias("close"))
+    rows = rows.groupBy("month").agg(F.count("*").alias("rows"), F.sum("close").alias("closes"))
+    return rows.withColumn("files_of_drop", files.cast("int"))
 
 
 @query(f"select symbol, exchange, strftime(time, '%Y-%m-%d') as time, round(close, 6) as close, 1.5::double as amount, 1.5::double as prev_close, strftime(time, '%Y') as year, strftime(time, '%m') as month from ({_RANGE_SQL})")
@@ -170,3 +173,66 @@ def import_minutes(spark, sf_dir):
     found = lake.read("minute_bars_1m").withColumn("file", F.input_file_name())
     most = found.groupBy("file").count().agg(F.max("count")).first()[0]
     return found.select("symbol", "exchange", "trade_date", "time", F.round("close", 6).alias("close"), "volume", "amount", F.lit(most <= 50).alias("small_files"))
+
+
+@dataclass(frozen=True)
+class LastBars:
+    """A snapshot service: each symbol's last bar as a tick, none for symbols that end in 4. The clock stands still,
+    so one cycle is taken."""
+
+    folder: str
+
+    def __call__(self, symbols: list[str]) -> dict[str, str | None]:
+        import json
+
+        import pyarrow.dataset as pds
+
+        rows = pds.dataset(self.folder).to_table(filter=pds.field("symbol").isin(symbols)).to_pylist()
+        return {r["symbol"]: None if r["symbol"][5] == "4" else json.dumps({"time": str(r["time"]), "lastPrice": r["close"]}) for r in rows}
+
+    def clock(self) -> float:
+        return 1_000.0
+
+
+@query(f"""
+    select 'stock.tick.' || symbol as subject, symbol as code, max(strftime(time, '%Y-%m-%d')) as time, round(arg_max(close, time), 6) as last_price, 100 as cycle, 1 as published
+    from ({DAILY_SQL}) where substr(symbol, 6, 1) <> '4' group by symbol""")
+def snapshots_published(spark, sf_dir):
+    """A cycle of ten workers' snapshots, published on a bus; a second start from the checkpoint has nothing to add."""
+    from tapeline.streaming.bus import FolderBus, to_bus
+    from tapeline.streaming.quotes import publish_rows
+    from tapeline.streaming.snapshots import snapshot_stream
+
+    folder, bus, checkpoint = scratch(spark, "last"), FolderBus(scratch(spark, "bus")), scratch(spark, "checkpoint")
+    bars = daily_bars(spark, sf_dir).groupBy("symbol").agg(F.max("time").alias("time"), F.max_by("close", "time").alias("close"))
+    bars.write.parquet(folder)
+    symbols = sorted(r["symbol"] for r in fr.symbols(bars).collect())
+    market = LastBars(folder.removeprefix("file:"))
+    for _ in range(2):
+        ticks = snapshot_stream(spark, market, symbols, 10.0, 10, market.clock).withColumn("tick", F.parse_json("tick"))
+        stream = to_bus(publish_rows(ticks), bus, checkpoint).trigger(processingTime="100 milliseconds").start()
+        try:
+            stream.processAllAvailable()
+        finally:
+            stream.stop()
+    sent = spark.createDataFrame(bus.messages(), "batch long, subject string, payload string")
+    value = lambda path: F.get_json_object("payload", path)
+    rows = sent.select("subject", value("$.code").alias("code"), value("$.tick.time").alias("time"), F.round(value("$.tick.lastPrice").cast("double"), 6).alias("last_price"))
+    return rows.groupBy("subject", "code", "time", "last_price").agg(F.lit(100).alias("cycle"), F.count("*").cast("int").alias("published"))
+
+
+_CHECKED = ("limit_up_pullback", "morning_star", "multi_party_cannon", "resistance_breakout", "strategy_2560_selection")
+_DATES_SQL = f"select distinct symbol, cast(time as date) as as_of from ({DAILY_SQL}) where time >= date '1997-01-01' and (cast(substr(symbol, 5, 2) as int) + datediff('day', date '1997-01-01', time)) % 11 = 0"
+_HITS_SQL = " union all ".join(f"select symbol, time, '{p}' as pattern_id from ({ds.BUILDERS[p](det.REGISTRY[p])})" for p in _CHECKED)
+
+
+@query(f"""
+    with d as ({_DATES_SQL}), p as (select unnest({list(_CHECKED)}) as pattern_id), h as ({_HITS_SQL})
+    select d.symbol, d.as_of, p.pattern_id, h.symbol is not null as matched from d cross join p left join h on h.symbol = d.symbol and cast(h.time as date) = d.as_of and h.pattern_id = p.pattern_id""")
+def check_in_bulk(spark, sf_dir):
+    """Five patterns for every symbol on every eleventh day or so, each over the year before it, in one plan."""
+    bars = daily_bars(spark, sf_dir)
+    k = F.substring("symbol", 5, 2).cast("int") + F.datediff("time", F.lit("1997-01-01").cast("date"))
+    dates = bars.where((F.col("time") >= F.lit("1997-01-01").cast("date")) & (k % 11 == 0)).select("symbol", F.col("time").alias("as_of")).distinct()
+    asked = dates.select("*", F.explode(F.array(*map(F.lit, _CHECKED))).alias("pattern_id"))
+    return scan.checks(asked, bars)

@@ -225,25 +225,75 @@ def read_csv(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame
     return csv_rows(raw, kind)
 
 
+#: Tasks over the entries of archives at most; beyond, a task reads several.
+MOST_ENTRY_TASKS = 10_000
+#: File systems whose files tasks can read in parts.
+RANGED = ("file", "hdfs", "s3", "s3a", "gs")
+
+
+def opened(path: str):
+    """A file that can be read in parts, in any of the RANGED stores."""
+    from pyarrow import fs
+
+    scheme, _, rest = path.partition(":")
+    rest = rest.lstrip("/")
+    uri = f"file:///{rest}" if scheme == "file" else f"s3://{rest}" if scheme == "s3a" else path
+    found, inner = fs.FileSystem.from_uri(uri)
+    return found.open_input_file(inner)
+
+
+def csv_entries(archive: zipfile.ZipFile) -> list[str]:
+    return sorted(n for n in archive.namelist() if n.lower().endswith(".csv"))
+
+
+def entry_rows(archive: zipfile.ZipFile, path: str, entry: str, columns: list[str]) -> Iterator[pd.DataFrame]:
+    """An entry's rows, inflated and parsed a chunk at a time."""
+    at = 0
+    with archive.open(entry) as f:
+        for part in pd.read_csv(f, header=None, skiprows=1, names=columns, dtype=str, keep_default_na=False, chunksize=100_000, index_col=False):
+            yield part.assign(source_file=f"{path}/{entry}", source_part=0, source_row=range(at, at + len(part)))
+            at += len(part)
+
+
 def read_zip(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
-    """Rows of every .csv entry of the archives. One archive is opened in one task, entry by entry, and an entry is read
-    in chunks; paths come from Spark, so archives may lie in any store."""
+    """Rows of every .csv entry of the archives.
+
+    Where tasks can read parts of files, each entry is a task of its own: the archive's directory is
+    read from its end, and an entry from where it lies, so neither an archive nor an entry is ever whole in
+    memory. In other stores Spark hands whole archives (of at most 2 GB) to tasks.
+    """
     columns = LAYOUTS[kind][0]
+    schema = ", ".join(f"`{c}` string" for c in columns) + ", source_file string, source_part long, source_row long"
+    archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for where in batch["path"]:
+                with opened(where) as f, zipfile.ZipFile(f) as archive:
+                    yield pd.DataFrame({"path": where, "entry": csv_entries(archive)}, columns=["path", "entry"], dtype=str)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for where, entry in zip(batch["path"], batch["entry"], strict=True):
+                with opened(where) as f, zipfile.ZipFile(f) as archive:
+                    yield from entry_rows(archive, where, entry, columns)
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for where, content in zip(batch["path"], batch["content"], strict=True):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for entry in sorted(n for n in archive.namelist() if n.lower().endswith(".csv")):
-                        at = 0
-                        with archive.open(entry) as f:
-                            for part in pd.read_csv(f, header=None, skiprows=1, names=columns, dtype=str, keep_default_na=False, chunksize=100_000, index_col=False):
-                                yield part.assign(source_file=f"{where}/{entry}", source_part=0, source_row=range(at, at + len(part)))
-                                at += len(part)
-
-    schema = ", ".join(f"`{c}` string" for c in columns) + ", source_file string, source_part long, source_row long"
-    archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
-    return csv_rows(archives.select("path", "content").mapInPandas(run, schema), kind)
+                    for entry in csv_entries(archive):
+                        yield from entry_rows(archive, where, entry, columns)
+
+    paths = archives.select("path")
+    if paths.where(~F.substring_index("path", ":", 1).isin(*RANGED)).isEmpty():
+        staged = scratch(spark, "entries")
+        paths.mapInPandas(listed, "path string, entry string").write.parquet(staged)
+        names = spark.read.schema("path string, entry string").parquet(staged)
+        rows = names.repartition(max(1, min(names.count(), MOST_ENTRY_TASKS)), "path", "entry").mapInPandas(entries, schema)
+    else:
+        rows = archives.select("path", "content").mapInPandas(whole, schema)
+    return csv_rows(rows, kind)
 
 
 MANIFEST = "path string, length long, modificationTime timestamp"
