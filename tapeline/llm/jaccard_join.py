@@ -34,6 +34,9 @@ WORDS = 1 << 20
 PART = 4 << 20
 #: Fragments of the global order.
 FRAGMENTS = 8
+#: Longs of a set's parity bits: bit k is set if an odd number of its shingles fall on k. Two sets' bits
+#: differ in no more places than the sets do in shingles.
+LONGS = 8
 
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -224,7 +227,11 @@ def shared(docs: DataFrame, shingles: int) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """c1, c2, n and keys of each row's set."""
+    """c1, c2, n, keys and parity bits of each row's set."""
+
+    def parity(keys: np.ndarray) -> np.ndarray:
+        odd = np.bincount((keys >> np.uint64(20)).astype(np.int64) % (64 * LONGS), minlength=64 * LONGS) & 1
+        return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, found in sets(batches):
@@ -232,11 +239,11 @@ def keyed(docs: DataFrame) -> DataFrame:
                 part = found[a : a + 512]
                 c1, c2 = zip(*map(class_of, part), strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array([len(k) for k in part], pa.int64()), pa.array([k.view(np.int64) for k in part], pa.list_(pa.int64()))],
-                    ["c1", "c2", "n", "keys"],
+                    [pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array([len(k) for k in part], pa.int64()), pa.array([k.view(np.int64) for k in part], pa.list_(pa.int64())), pa.array([parity(k) for k in part], pa.list_(pa.int64()))],
+                    ["c1", "c2", "n", "keys", "bits"],
                 )
 
-    return docs.select("text").mapInArrow(run, "c1 long, c2 long, n long, keys array<long>")
+    return docs.select("text").mapInArrow(run, "c1 long, c2 long, n long, keys array<long>, bits array<long>")
 
 
 def pivots(ordered: DataFrame, fragments: int) -> list[tuple[int, int]]:
@@ -285,8 +292,16 @@ def alike(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
 
+def apart(a: str, b: str, percent: int) -> Column:
+    """Whether the parity bits of two sets (structs of columns n and bits) rule a link out."""
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    least = F.floor((percent * both + 99 + percent) / (100 + percent))  # what a link needs in common
+    differ = sum((F.bit_count(F.col(f"{a}.b{k}").bitwiseXOR(F.col(f"{b}.b{k}"))) for k in range(LONGS)), F.lit(0))
+    return differ > both - 2 * least
+
+
 def links(members: DataFrame, percent: int = PERCENT, fragments: int = FRAGMENTS) -> DataFrame:
-    """Edges (a, b) between members (id, n, keys) whose components are those of all links."""
+    """Edges (a, b) between members (id, n, keys, bits) whose components are those of all links."""
     tokens = members.select("id", "n", F.explode("keys").alias("k"))
     df = tokens.groupBy("k").agg(F.count("*").alias("df")).where("df > 1")
     seq = F.sort_array(F.collect_list(F.struct("df", "k"))).alias("seq")  # one set's own shingles
@@ -307,13 +322,15 @@ def links(members: DataFrame, percent: int = PERCENT, fragments: int = FRAGMENTS
     at = materialize(first.drop("rank").join(small(roots).withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root"), "placed")
     sizes = at.groupBy("k", "comp").agg(F.count("*").alias("m")).groupBy("k").agg(F.max(F.struct("m", "comp")).alias("top"), F.count("*").alias("apart"))
     sizes = materialize(sizes.where("apart > 1").select("k", F.col("top.comp").alias("top")), "apart")
-    rest = at.join(small(sizes), "k")
-    minor = rest.where("comp <> top").select("k", F.col("id").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("comp").alias("ca"))
-    other = rest.select("k", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("comp").alias("cb"), "top")
-    most = F.least("pa", "pb") + 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1  # what can still be common
-    met = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("top")) | (F.col("a") < F.col("b"))) & alike("na", "nb", percent)
-    met = met & (100 * most >= percent * (F.col("na") + F.col("nb") - most))
-    cross = minor.join(other, "k").where(met).select("a", "b", "na", "nb").distinct()
+    bits = members.select("id", *[F.get("bits", F.lit(k)).alias(f"b{k}") for k in range(LONGS)])
+    rest = materialize(at.join(small(sizes), "k").join(bits, "id"), "rest")
+    one_of = F.struct("id", "n", "place", "comp", *[f"b{k}" for k in range(LONGS)])
+    minor = rest.where("comp <> top").select("k", one_of.alias("x"))
+    other = rest.select("k", "top", one_of.alias("y"))
+    most = F.least("x.place", "y.place") + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))  # what can still be common
+    met = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("top")) | (F.col("x.id") < F.col("y.id"))) & alike("x.n", "y.n", percent)
+    met = met & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)) & ~apart("x", "y", percent)
+    cross = minor.join(other, "k").where(met).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
     two = materialize(verified(materialize(cross, "pairs"), segs, percent), "links")
     return one.union(two)
 
