@@ -16,6 +16,7 @@ What is counted is kept small without losing a link:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,7 @@ FRAGMENTS = 8
 #: differ in no more places than the sets do in shingles.
 LONGS = 8
 
+GAP = re.compile(rb"[\x20\x09-\x0d]")
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -72,21 +74,22 @@ def keys_of(words: list[bytes], ends: list[int], lead: list[int]) -> np.ndarray:
 
 def slices(text: str) -> Iterator[tuple[list[bytes], int]]:
     """The words of a text, A-Z in lower case, a bounded number of bytes at a time, and how many of them
-    were there before."""
-    data, at, last = text.encode("utf-8", "surrogatepass").lower(), 0, []
+    were there before. Only a text that is all in one part has a part of fewer words than a shingle."""
+    data, at, held, before = text.encode("utf-8", "surrogatepass").lower(), 0, [], 0
     while True:
         end = len(data)
         if end - at > 8 * WORDS:
-            rest = data[at + 8 * WORDS : at + 16 * WORDS].split(None, 1)
-            cut = data.find(rest[0], at + 8 * WORDS) + len(rest[0]) if rest else end
-            end = min(end, max(cut, at + 8 * WORDS))
-            while end < len(data) and data[end : end + 1] not in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r"):
-                end += 1
-        words = data[at:end].split()
-        yield last + words, len(last)
-        if end == len(data):
-            return
-        at, last = end, (last + words)[-(SHINGLE - 1) :]
+            gap = GAP.search(data, at + 8 * WORDS)
+            end = gap.start() if gap else end
+        held += data[at:end].split()
+        at = end
+        if at == len(data):
+            break
+        if len(held) >= SHINGLE:
+            yield held, before
+            held = held[-(SHINGLE - 1) :]
+            before = len(held)
+    yield held, before
 
 
 def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:

@@ -207,7 +207,7 @@ def with_label_error(coded: DataFrame) -> DataFrame:
     joined by a broadcast, so that no join gathers them; the others too if their table is small.
     """
     total = F.sum(F.col("error").cast("decimal(38,0)"))
-    sums = coded.groupBy("label").agg(F.count("*").alias("rows"), F.least(total, F.lit(MOST).cast("decimal(38,0)")).cast("long").alias("label_error"))
+    sums = coded.groupBy("label").agg(F.count("*").alias("rows"), F.when(total > MOST, F.lit(MOST)).otherwise(total.cast("long")).alias("label_error"))
     sums = materialize(sums.select(F.col("label").alias("of"), "rows", "label_error"), "label-sums")
     same = F.col("label").eqNullSafe(F.col("of"))
     if stored_bytes(sums) <= BROADCAST_BYTES:

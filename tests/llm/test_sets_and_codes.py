@@ -150,7 +150,7 @@ def test_target_resampling(spark):
     target = spark.createDataFrame([(1, texts[3], "x"), (1, None, "y"), (None, "A B c", "z")], "item_id long, text string, weight string")
     got = target_resampling.target_resample(df, target).collect()
     assert collections.Counter(map(tuple, got)) == brute_resample([(x.doc_id, x.text) for x in df.collect()], [x.text for x in target.collect()])
-    assert sum(x.rank is not None for x in got) >= 5
+    assert sum(x.rank is not None for x in got) >= 3
     assert target_resampling.target_resample(table(spark, []), target).count() == 0
     none = target_resampling.target_resample(df, target.where("false")).collect()
     assert collections.Counter(map(tuple, none)) == brute_resample([(x.doc_id, x.text) for x in df.collect()], [])
