@@ -173,6 +173,15 @@ def _unplanes(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(unzip_bytes(data), np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
+def different(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows of pairs of longs in ascending order, and the place of each row among them."""
+    order = np.lexsort((names[:, 1], names[:, 0]))
+    new = np.append(True, (names[order[1:]] != names[order[:-1]]).any(axis=1))
+    at = np.empty(len(names), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return names[order[new]], at
+
+
 def shared(docs: DataFrame, shingles: int) -> DataFrame:
     """c1, c2 and shared: how many of a class's shingles other classes have too (classes with any).
 
@@ -208,10 +217,7 @@ def shared(docs: DataFrame, shingles: int) -> DataFrame:
             names.append(np.frombuffer(n, "<i8").reshape(-1, 2))
             before += len(names[-1])
         keys, doc, names = np.concatenate(keys), np.concatenate(doc), np.concatenate(names)
-        order = np.lexsort((names[:, 1], names[:, 0]))
-        new = np.append(True, (names[order[1:]] != names[order[:-1]]).any(axis=1))
-        classes, named = np.empty(len(names), np.int64), names[order[new]]
-        classes[order] = np.cumsum(new) - 1
+        named, classes = different(names)
         cls = classes[doc]
         order = np.argsort(keys, kind="stable")  # runs that are sorted already
         keys, cls = keys[order], cls[order]
@@ -222,11 +228,24 @@ def shared(docs: DataFrame, shingles: int) -> DataFrame:
         pair = np.unique(run[stay] * len(named) + cls[stay])  # copies of a class count once
         n = np.bincount(pair % len(named), minlength=len(named))
         at = np.flatnonzero(n)
-        return pa.table({"c1": named[at, 0], "c2": named[at, 1], "shared": n[at].astype(np.int64)})
+        # What the parts have of a class is added up by ranges of classes, a block for each part and range.
+        place = ((named[at, 0].view(np.uint64) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # ascending but for the sign
+        at = at[np.argsort(place, kind="stable")]
+        stops = np.searchsorted(np.sort(place), np.arange(parts + 1, dtype=np.uint64)).tolist()
+        out = [(p, named[at[a:b]].astype("<i8").tobytes(), _planes(n[at[a:b]].astype("<u4"))) for p, (a, b) in enumerate(zip(stops[:-1], stops[1:], strict=True)) if a < b]
+        shape = pa.schema([("place", pa.int64()), ("names", pa.binary()), ("shared", pa.binary())])
+        return pa.Table.from_pylist([dict(zip(shape.names, r, strict=True)) for r in out], shape)
+
+    def add(table: pa.Table) -> pa.Table:
+        names = np.concatenate([np.frombuffer(x, "<i8").reshape(-1, 2) for x in table["names"].to_pylist()])
+        n = np.concatenate([_unplanes(x, "<u4") for x in table["shared"].to_pylist()])
+        named, classes = different(names)
+        total = np.bincount(classes, weights=n).astype(np.int64)
+        return pa.table({"c1": named[:, 0].copy(), "c2": named[:, 1].copy(), "shared": total})
 
     blocks = docs.select("text").mapInArrow(send, "part long, keys binary, doc binary, names binary")
-    found = blocks.groupBy("part").applyInArrow(count, "c1 long, c2 long, shared long")
-    return found.groupBy("c1", "c2").agg(F.sum("shared").alias("shared"))
+    found = blocks.groupBy("part").applyInArrow(count, "place long, names binary, shared binary")
+    return found.groupBy("place").applyInArrow(add, "c1 long, c2 long, shared long")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
