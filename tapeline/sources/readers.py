@@ -237,9 +237,11 @@ def opened(path: str):
 
     scheme, _, rest = path.partition(":")
     rest = rest.lstrip("/")
-    uri = f"file:///{rest}" if scheme == "file" else f"s3://{rest}" if scheme == "s3a" else path
-    found, inner = fs.FileSystem.from_uri(uri)
-    return found.open_input_file(inner)
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_file(f"/{rest}")
+    place, _, inner = rest.partition("/")
+    found, root = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{place}")
+    return found.open_input_file(f"{root.rstrip('/')}/{inner}")
 
 
 def csv_entries(archive: zipfile.ZipFile) -> list[str]:
