@@ -42,6 +42,14 @@ def run(fn, x: Column | str, first: int, last: int = 0) -> Column:
     return fn(x).over(by_symbol().rowsBetween(-first, -last))
 
 
+def _sum(values: Column) -> Column:
+    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda a, x: a + x))
+
+
+#: Aggregations over rows as functions of the array of their values (without nulls).
+FOLDS = {"max": F.array_max, "min": F.array_min, "sum": _sum, "avg": lambda v: _sum(v) / F.size(v), "collect_list": lambda v: v}
+
+
 class Bars(threading.local):
     """What detectors read besides the prepared columns: values some rows back and runs of rows.
 
@@ -52,17 +60,24 @@ class Bars(threading.local):
 
     def __init__(self):
         self.made: dict[str, Column] = {}
+        #: What was asked for, by name: the column, and for runs the function, its rows and what it is of.
+        self.asked: dict[str, tuple] = {}
 
     def named(self, name: str, x: Column) -> Column:
         self.made[name] = x
         return F.col(f"`{name}`")
 
     def back(self, name: str, rows: int) -> Column:
-        return self.named(f"{name}@{rows}", lag(name, rows)) if rows else F.col(name)
+        if not rows:
+            return F.col(name)
+        self.asked[f"{name}@{rows}"] = (name, rows)
+        return self.named(f"{name}@{rows}", lag(name, rows))
 
     def run(self, fn, name: str, first: int, last: int = 0, of: Column | None = None) -> Column:
         """fn over rows of the column name, or of an expression that name names."""
-        return self.named(f"{fn.__name__} {name}@{first}:{last}", run(fn, F.col(name) if of is None else of, first, last))
+        key = f"{fn.__name__} {name}@{first}:{last}"
+        self.asked[key] = (name, fn.__name__, first, last, of)
+        return self.named(key, run(fn, F.col(name) if of is None else of, first, last))
 
     def since(self, fn, name: str, rows: int) -> Column:
         """fn over the rows behind the bar `rows` back, up to the latest."""
@@ -70,10 +85,36 @@ class Bars(threading.local):
 
     def apply(self, df: DataFrame, detectors: Sequence[Detector]) -> tuple[DataFrame, list[Column]]:
         """df with all columns asked for, and each detector's evidence on them."""
-        self.made = {}
+        self.made, self.asked = {}, {}
         found = [d.found() for d in detectors]
         return (df.withColumns(self.made) if self.made else df), found
 
+    def latest(self, df: DataFrame, detectors: Sequence[Detector]) -> tuple[DataFrame, list[Column]]:
+        """apply() for the latest bar of each symbol alone, of a frame that holds no more bars than detectors look
+        back: these lie in one array for each symbol, and what is asked for is read from it, once, instead of being a
+        window column at every bar."""
+        self.made, self.asked = {}, {}
+        found = [d.found() for d in detectors]
+        if set(self.made) != set(self.asked) or any(len(a) > 2 and a[1] not in FOLDS for a in self.asked.values()):
+            ready = df.withColumns(self.made) if self.made else df  # something of a detector's own
+            return ready.where("latest"), found
+        own = {f"of {k}": a[4] for k, a in self.asked.items() if len(a) > 2 and a[4] is not None}
+        used = sorted({a[0] for k, a in self.asked.items() if f"of {k}" not in own} | set(own))
+        bars = F.sort_array(F.collect_list(F.struct("time", *[F.col(f"`{c}`") for c in used if c != "time"])))
+        last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.col("time"))
+        rows = df.withColumns(own).groupBy(F.col("symbol").alias("_symbol")).agg(bars.alias("_bars"), last.alias("_last")).select("_last.*", "_bars")
+        n = F.size("_bars")
+
+        def read(key: str, a: tuple) -> Column:
+            if len(a) == 2:
+                return F.get("_bars", n - 1 - a[1])[a[0]]
+            start = F.greatest(n - a[2], F.lit(1))
+            part = F.slice("_bars", start, F.greatest(n - a[3] - start + 1, F.lit(0)))
+            field = f"of {key}" if f"of {key}" in own else a[0]
+            return FOLDS[a[1]](F.filter(F.transform(part, lambda b: b[field]), lambda x: x.isNotNull()))
+
+        return (rows.withColumns({k: read(k, a) for k, a in self.asked.items()}) if self.asked else rows).drop("_bars"), found
+
 
 B = Bars()
 

@@ -42,7 +42,7 @@ def latest_signals(bars: DataFrame, chosen: Iterable[det.Detector] | None = None
     behind them is made for the last `tail` bars, which is as far as any looks back."""
     whole = compute(bars.withColumn("_n", F.count("*").over(Window.partitionBy("symbol"))).where(F.col("_n") >= MIN_BARS), DEFAULT_PATTERN_SET)
     last = whole.withColumn("_rn", F.row_number().over(det.by_symbol())).where(F.col("_n") - F.col("_rn") < tail).drop("_rn")
-    return signals(det.prepare(last, F.greatest(F.col("_n") - tail, F.lit(0))), chosen)
+    return signals(det.prepare(last, F.greatest(F.col("_n") - tail, F.lit(0))), chosen, trimmed=True)
 
 
 #: Between a symbol and the date that a check is made as of, in the name of its own series.
@@ -79,14 +79,14 @@ def evidence_frame(ready: DataFrame, detector: det.Detector) -> DataFrame:
     return ready.select("symbol", "exchange", "time", "rn", found.alias("e")).where((F.col("rn") >= MIN_BARS) & F.col("e").isNotNull()).select("symbol", "exchange", "time", "e.*")
 
 
-def signals(ready: DataFrame, chosen: Iterable[det.Detector] | None = None, latest_only: bool = True) -> DataFrame:
+def signals(ready: DataFrame, chosen: Iterable[det.Detector] | None = None, latest_only: bool = True, trimmed: bool = False) -> DataFrame:
     """symbol, exchange, time, pattern_id, signal_date, score, tags, explanation, evidence (JSON).
 
     At the latest bar of each symbol, or at every bar. All detectors share one window, so a symbol
-    is sorted once.
+    is sorted once. trimmed: the frame holds only the last bars of each symbol, which then become one row.
     """
     chosen = list(det.REGISTRY.values() if chosen is None else chosen)
-    ready, made = det.B.apply(ready, chosen)
+    ready, made = (det.B.latest if latest_only and trimmed else det.B.apply)(ready, chosen)
     found = ready.select("symbol", "exchange", "time", "rn", "latest", *[e.alias(d.id) for d, e in zip(chosen, made, strict=True)]).where(F.col("rn") >= MIN_BARS)
     if latest_only:
         found = found.where("latest")
