@@ -110,11 +110,10 @@ def chunked(docs: DataFrame) -> DataFrame:
 
         def chunk() -> pa.RecordBatch:
             coded = pa.array(words, pa.binary()).dictionary_encode()
-            order = pc.sort_indices(coded.dictionary)
-            rank = np.empty(len(order), np.int64)
-            rank[order.to_numpy()] = np.arange(len(order))
-            seq = rank[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
-            got = [(task << 33) + made, size, joined(coded.dictionary.take(order)), zip_numbers(seq), list(ends), list(lead), list(at), list(ids)]
+            # The most frequent words have the lowest numbers, whose upper bytes then compress well.
+            order = np.argsort(-np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary)), kind="stable")
+            seq = ranks(order)[coded.indices.to_numpy()]
+            got = [(task << 33) + made, size, joined(coded.dictionary.take(pa.array(order))), zip_numbers(seq), list(ends), list(lead), list(at), list(ids)]
             shape = pa.schema([("chunk", pa.int64()), ("bytes", pa.int64()), ("words", pa.binary()), ("ids", pa.binary()), ("ends", pa.list_(pa.int32())), ("lead", pa.list_(pa.int32())), ("at", pa.list_(pa.int64())), ("doc_id", pa.list_(pa.int64()))])
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(got, shape, strict=True)], schema=shape)
 
@@ -141,12 +140,19 @@ def chunked(docs: DataFrame) -> DataFrame:
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different keys in ascending order, and the place of each key among them."""
-    coded = pa.array(keys).dictionary_encode()  # by hashing; only the different ones are sorted
-    known = coded.dictionary.to_numpy()
-    order = np.argsort(known)
-    rank = np.empty(len(order), np.int32)
-    rank[order] = np.arange(len(order), dtype=np.int32)
-    return known[order], rank[coded.indices.to_numpy()]
+    order = np.argsort(keys).astype(np.int32)
+    keys = keys[order]
+    new = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+    at = np.empty(len(keys), np.int32)
+    at[order] = np.cumsum(new, dtype=np.int32) - 1
+    return keys[new], at
+
+
+def ranks(order: np.ndarray) -> np.ndarray:
+    """The place of each thing, where order lists the things by their places."""
+    out = np.empty(len(order), np.int32)
+    out[order] = np.arange(len(order), dtype=np.int32)
+    return out
 
 
 class Grams:
@@ -159,7 +165,10 @@ class Grams:
     def __init__(self, words: bytes, ids: bytes, ends: list[int], lead: list[int]):
         one = unzip_numbers(ids).astype(np.int32)
         vocabulary = int(one.max(initial=-1)) + 1
-        self.words = split(words, vocabulary)
+        known = split(words, vocabulary)
+        order = pc.sort_indices(known)
+        self.words, one = known.take(order), ranks(order.to_numpy())[one]
+        del known, order
         n, ends = len(one), np.asarray(ends, np.int32)
         starts = np.append(0, ends[:-1]).astype(np.int32)
         self.doc = np.repeat(np.arange(len(ends), dtype=np.int32), ends - starts)
@@ -189,11 +198,13 @@ class Grams:
         """What is sent to one part: sizes, and the strings and counts."""
         one, two, three = route
         v = max(self.vocabulary, 1)
-        pair = pc.binary_join_element_wise(self.words.take(pa.array(self.pairs[two] // v)), self.words.take(pa.array(self.pairs[two] % v)), pa.scalar(b" ", pa.binary()))
-        # Runs of three are in the order of their runs of two.
+        # Runs of two are in the order of their first words, each of which is sent once; runs of three in that of their runs of two.
+        first, second = np.divmod(self.pairs[two], v)
+        firsts, times = np.unique(first, return_counts=True)
         follow = np.diff(np.searchsorted(self.triples[three] // v, np.append(two, len(self.pairs))))
-        data = [joined(self.words.take(pa.array(one))), joined(pair), zip_numbers(follow), joined(self.words.take(pa.array(self.triples[three] % v)))]
-        return [len(one), len(two), len(three)], [*data, zip_numbers(np.concatenate([c[r] for c, r in zip(self.counts, route, strict=True)]))]
+        spelled = lambda which: joined(self.words.take(pa.array(which)))
+        data = [spelled(one), spelled(firsts), zip_numbers(times), spelled(second), zip_numbers(follow), spelled(self.triples[three] % v)]
+        return [len(one), len(firsts), len(two), len(three)], [*data, zip_numbers(np.concatenate([c[r] for c, r in zip(self.counts, route, strict=True)]))]
 
 
 def _by_part(part: np.ndarray, parts: int) -> list[np.ndarray]:
@@ -203,9 +214,14 @@ def _by_part(part: np.ndarray, parts: int) -> list[np.ndarray]:
 
 def strings(sizes: list[int], data: list[bytes]) -> pa.Array:
     """The n-grams of which asked() sent the parts: words, then runs of two, then of three."""
-    one, two, last = split(data[0], sizes[0]), split(data[1], sizes[1]), split(data[3], sizes[2])
-    head = two.take(pa.array(np.repeat(np.arange(sizes[1]), unzip_numbers(data[2]))))
-    return pa.concat_arrays([one, two, pc.binary_join_element_wise(head, last, pa.scalar(b" ", pa.binary()))])
+    space = pa.scalar(b" ", pa.binary())
+
+    def behind(heads: pa.Array, times: bytes, last: pa.Array) -> pa.Array:
+        return pc.binary_join_element_wise(heads.take(pa.array(np.repeat(np.arange(len(heads)), unzip_numbers(times)))), last, space)
+
+    one, firsts, second, last = (split(data[k], n) for k, n in zip((0, 1, 3, 5), sizes, strict=True))
+    two = behind(firsts, data[2], second)
+    return pa.concat_arrays([one, two, behind(two, data[4], last)])
 
 
 def dictionary(chunks: DataFrame, parts: int) -> DataFrame:
@@ -227,7 +243,7 @@ def dictionary(chunks: DataFrame, parts: int) -> DataFrame:
         for block in table.select(["sizes", "data"]).to_batches(max_chunksize=1):
             sizes, data = block.column(0)[0].as_py(), block.column(1)[0].as_py()
             asked.append(strings(sizes, data))
-            counts.append(unzip_numbers(data[4]))
+            counts.append(unzip_numbers(data[6]))
         sizes = [len(a) for a in asked]
         known = pa.concat_arrays(asked)
         asked.clear()

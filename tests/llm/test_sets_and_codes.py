@@ -171,7 +171,7 @@ def test_pieces_have_each_run_once(monkeypatch):
         got = collections.Counter()
         for route in g.routes(3):
             sizes, data = g.asked(route)
-            for s, c in zip(ngram_dictionary.strings(sizes, data).to_pylist(), ngram_dictionary.unzip_numbers(data[4]).tolist(), strict=True):
+            for s, c in zip(ngram_dictionary.strings(sizes, data).to_pylist(), ngram_dictionary.unzip_numbers(data[6]).tolist(), strict=True):
                 if c:
                     got[s.decode()] += c
         assert got == features(text)[1]
