@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tapeline.llm.common import materialize
 
 #: Bytes of text in a chunk (one text of more is cut between words).
-CHUNK = 14 << 20
+CHUNK = 12 << 20
 #: Bytes of text whose n-grams one part of the dictionary has on average.
 PART = 16 << 20
 BUCKETS = 10_000
