@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -128,13 +129,25 @@ def rolling_mean(x: Column | str, p: int, by: Window) -> Column:
     return F.when(F.row_number().over(by) >= p, F.avg(x).over(by.rowsBetween(1 - p, 0)))
 
 
+def folded(x: pd.Series, step: Callable[[float, float], float]) -> pd.Series:
+    """step(y', x) from the first value on, whose y is itself; gaps stay gaps.
+
+    The recursions are folds with the operations of the SQL in its order: crosses compare values
+    that may be a rounding apart, which other forms of the same mean round elsewhere.
+    """
+    known = x.dropna()
+    return pd.Series([*accumulate(known.tolist(), step)], known.index, dtype=float).reindex(x.index)
+
+
 def ema(x: pd.Series, span: int) -> pd.Series:
-    """y = a x + (1 - a) y', a = 2 / (span + 1), from the first value on; gaps stay gaps."""
-    return x.ewm(span=span, adjust=False, ignore_na=True).mean().where(x.notna())
+    """y = a x + (1 - a) y', a = 2 / (span + 1)."""
+    new, old = 2 / (span + 1), (span - 1) / (span + 1)
+    return folded(x, lambda y, v: new * v + old * y)
 
 
 def smooth(x: pd.Series, m: int) -> pd.Series:
-    return x.ewm(alpha=1 / m, adjust=False).mean()
+    """y = x / m + y' (m - 1) / m."""
+    return folded(x, lambda y, v: v / m + y * (m - 1) / m)
 
 
 def raw_stochastic(high: pd.Series, low: pd.Series, close: pd.Series, n: int) -> pd.Series:
@@ -154,7 +167,7 @@ def wilder_rsi(close: pd.Series, p: int) -> pd.Series:
         seeded = side.copy()
         seeded.iloc[:p] = float("nan")
         seeded.iloc[p] = side.iloc[1 : p + 1].mean()
-        sides.append(seeded.ewm(alpha=1 / p, adjust=False).mean())
+        sides.append(folded(seeded, lambda y, v: (y * (p - 1) + v) / p))
     gain, loss = sides
     return (100 - 100 / (1 + gain / loss.where(loss > EPS))).where(loss > EPS, 100.0).where(gain.notna())
 
