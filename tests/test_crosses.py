@@ -20,7 +20,7 @@ def shifted(tmp_path_factory):
     return str(folder), c
 
 
-@pytest.mark.parametrize("name", ["cross_up_events", "grouped_pattern_results", "topn_signals"])
+@pytest.mark.parametrize("name", ["cross_up_events", "grouped_pattern_results", "topn_signals", "pattern_summary"])
 def test_crosses_are_those_of_the_sql(spark, shifted, name):
     folder, c = shifted
     got, want = QUERIES[name](spark, folder).toPandas(), c.execute(ORACLES[name]).fetchdf()
